@@ -305,4 +305,6 @@ WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'signup')""",
 SELECT count(*) AS alerts, count(DISTINCT alert_id) AS alert_ids, count(*) - count(DISTINCT alert_id) AS collisions
 FROM alerts""",
     "o11_replayed_order_alerts": ORDER_ALERTS,
+    "stream_order_alerts": ORDER_ALERTS,
+    "stream_user_alerts": user_alerts(),
 }

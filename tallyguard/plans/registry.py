@@ -15,10 +15,13 @@ from tallyguard.functions.amounts import amount_difference, money, seconds_befor
 from tallyguard.operators import checks, lookups, order_rules, user_rules, validate, windows
 from tallyguard.operators.latest import first_copies, last_versions
 from tallyguard.plans.order_alerts import judge_orders
+from tallyguard.plans.streamed import run_over_tables
 from tallyguard.plans.user_alerts import judge_users
 from tallyguard.sources import tables
 from tallyguard.sources.render import topic_columns, topic_json
 from tallyguard.sources.tables import ACTIVITY_PARAMS, table
+from tallyguard.streaming.order_stream import stream_order_alerts
+from tallyguard.streaming.user_stream import stream_user_alerts
 
 Query = Callable[[SparkSession, str], DataFrame]
 BREAKAGE = 13
@@ -363,6 +366,25 @@ def o11_id_collisions(spark, sf_dir):
     return checks.id_collisions(r5_order_alerts(spark, sf_dir), ["order_id", "payment_id", "risk_item"])
 
 
+# The same rules on streams.
+def _stream_orders(spark, sf_dir):
+    events = tables.order_job_events(spark, sf_dir)
+    topics = [C.ORDER_TOPIC, C.DETAIL_TOPIC, C.PAYMENT_TOPIC]
+    return run_over_tables(spark, events, topics, stream_order_alerts, DAY)
+
+
+def _stream_users(spark, sf_dir):
+    events = tables.activity_events(spark, sf_dir)
+    longest = max(ACTIVITY_PARAMS.unpaid.size_ms + ACTIVITY_PARAMS.unpaid.wait_ms, ACTIVITY_PARAMS.failure.size_ms)
+    return run_over_tables(
+        spark,
+        events,
+        [C.ORDER_TOPIC, C.PAYMENT_TOPIC],
+        lambda stream: stream_user_alerts(stream, ACTIVITY_PARAMS),
+        longest + HOUR,
+    )
+
+
 QUERIES: dict[str, Query] = {
     "s_order_json": _through_json(tables.order_events, C.ORDER_TOPIC),
     "s_detail_json": _through_json(tables.detail_events, C.DETAIL_TOPIC),
@@ -404,6 +426,8 @@ QUERIES: dict[str, Query] = {
     "o10_alerts_by_user": o10_alerts_by_user,
     "o11_id_collisions": o11_id_collisions,
     "o11_replayed_order_alerts": o11_replayed_order_alerts,
+    "stream_order_alerts": _stream_orders,
+    "stream_user_alerts": _stream_users,
 }
 
 
