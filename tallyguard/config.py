@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 SECOND = 1_000
 MINUTE = 60 * SECOND
@@ -82,13 +82,13 @@ class JobConfig:
     mysql_url: str | None
     mysql_user: str | None
     mysql_password: str | None
-    shuffle_partitions: int = 3
+    # State partitions, fixed by a checkpoint's first run; by default the session's number.
+    shuffle_partitions: int | None = None
     trigger_seconds: int = 60
     sink_batch_rows: int = 100
     sink_retries: int = 3
     restarts: int = 3
     restart_delay_seconds: int = 30
-    extra: dict = field(default_factory=dict)
 
     @classmethod
     def from_env(cls, group_id: str, env: dict[str, str] | None = None, **overrides) -> "JobConfig":
@@ -109,5 +109,6 @@ class JobConfig:
             mysql_url=url,
             mysql_user=env.get("MYSQL_USER"),
             mysql_password=env.get("MYSQL_PASSWORD"),
+            shuffle_partitions=int(env["STATE_PARTITIONS"]) if env.get("STATE_PARTITIONS") else None,
         )
         return cls(**{**values, **overrides})

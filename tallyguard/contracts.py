@@ -12,6 +12,7 @@ ORDER_CREATED = "ORDER_CREATED"
 ORDER_DETAIL = "ORDER_DETAIL"
 PAYMENT_SUCCESS = "PAYMENT_SUCCESS"
 PAYMENT_FAILED = "PAYMENT_FAILED"
+EVENT_TYPES = (ORDER_CREATED, ORDER_DETAIL, PAYMENT_SUCCESS, PAYMENT_FAILED)
 STATUS_OF_TYPE = {PAYMENT_SUCCESS: "SUCCESS", PAYMENT_FAILED: "FAILED"}
 
 # Topic names, alert tables and consumer groups.

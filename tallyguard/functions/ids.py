@@ -18,15 +18,19 @@ def stable_number(seed: Column) -> Column:
     below 2^60, so the whole fold fits a bigint.
     """
     digits = F.concat(F.lit("0"), F.sha2(seed, 256))
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.lit(12)),
-        lambda i: F.conv(F.substring(digits, i * 5 + 1, F.lit(5)), 16, 10).cast("bigint"),
-    )
-    number = F.aggregate(
-        pieces,
-        F.lit(0).cast("bigint"),
-        lambda rest, piece: (rest * (1 << 20) + piece) % F.lit(ID_MODULUS).cast("bigint"),
-    )
+
+    def folded(text: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(0), F.lit(12)),
+            F.lit(0).cast("bigint"),
+            lambda rest, i: (
+                rest * (1 << 20) + F.conv(F.substring(text, i * 5 + 1, F.lit(5)), 16, 10).cast("bigint")
+            )
+            % F.lit(ID_MODULUS).cast("bigint"),
+        )
+
+    # Through a one-element array the digest is an item, computed once and not per piece.
+    number = F.get(F.transform(F.array(digits), folded), F.lit(0))
     return F.lpad(number.cast("string"), 12, "0")
 
 

@@ -39,13 +39,8 @@ def time_text(millis: Column) -> Column:
 
 def wall_clock_millis(wall: Column) -> Column:
     """Epoch milliseconds of a zone-less wall-clock column read in the business zone."""
-    utc = F.convert_timezone(F.lit(BUSINESS_ZONE), F.lit("UTC"), wall.cast("timestamp_ntz"))
-    return (
-        F.unix_date(utc.cast("date")).cast("bigint") * 86_400_000
-        + F.hour(utc) * 3_600_000
-        + F.minute(utc) * 60_000
-        + F.floor(F.extract(F.lit("SECOND"), utc) * 1000)
-    ).cast("bigint")
+    text = wall.cast("timestamp_ntz").cast("string")
+    return F.unix_millis(F.concat(text, F.lit(f" {BUSINESS_ZONE}")).cast("timestamp"))
 
 
 def now_local() -> Column:

@@ -29,6 +29,7 @@ from tallyguard.functions.amounts import amount_difference, money, seconds_befor
 from tallyguard.functions.ids import order_alert_id
 from tallyguard.functions.times import local_date, local_time, now_local
 from tallyguard.operators.latest import first_copies, last_versions
+from tallyguard.operators.validate import known_event_type
 
 
 def order_facts(events: DataFrame) -> DataFrame:
@@ -39,16 +40,13 @@ def order_facts(events: DataFrame) -> DataFrame:
     """
     event_type = F.col("event_type")
     is_order, is_detail = event_type == ORDER_CREATED, event_type == ORDER_DETAIL
-    known = event_type.isin(ORDER_CREATED, ORDER_DETAIL, "PAYMENT_SUCCESS", "PAYMENT_FAILED")
-    unknown = F.raise_error(F.concat(F.lit("unsupported event type: "), event_type)).cast("string")
-    return events.select(
+    return events.filter(known_event_type()).select(
         "order_id",
         "event_id",
         "event_time_ms",
         F.when(is_order, F.lit("order"))
         .when(is_detail, F.lit("detail"))
-        .when(known, F.lit("payment"))
-        .otherwise(unknown)
+        .otherwise(F.lit("payment"))
         .alias("fact"),
         F.when(is_order, F.lit(0)).when(is_detail, F.col("order_detail_id")).otherwise(F.col("payment_id")).alias(
             "fact_id"

@@ -12,6 +12,7 @@ from tallyguard.contracts import (
     FAILURE_TYPE,
     HIGH_RISK,
     ORDER_CREATED,
+    ORDER_DETAIL,
     PAYMENT_FAILED,
     PAYMENT_SUCCESS,
     UNPAID_TYPE,
@@ -22,6 +23,7 @@ from tallyguard.functions.ids import user_alert_id
 from tallyguard.functions.times import local_date, local_time, now_local
 from tallyguard.operators.cooldown import cooled_down
 from tallyguard.operators.latest import first_copies
+from tallyguard.operators.validate import known_event_type
 from tallyguard.operators.windows import count_runs, first_window_slot
 
 KEYS = ["user_id", "code"]
@@ -42,8 +44,8 @@ def user_facts(events: DataFrame) -> DataFrame:
     """
     event_type = F.col("event_type")
     failed = event_type == PAYMENT_FAILED
-    used = events.filter(event_type.isin(ORDER_CREATED, PAYMENT_SUCCESS, PAYMENT_FAILED))
-    return used.select(
+    used = events.filter(event_type.isNull() | (event_type != ORDER_DETAIL))
+    return used.filter(known_event_type()).select(
         "user_id",
         "event_id",
         "event_time_ms",

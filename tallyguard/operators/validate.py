@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tallyguard.contracts import (
     EVENT_SCHEMA,
+    EVENT_TYPES,
     PAYLOAD_TIME,
     PAYMENT_TOPIC,
     STATUS_OF_TYPE,
@@ -131,6 +132,13 @@ def quarantined(raw: DataFrame, topic: str, extra: bool = False) -> DataFrame:
     return bad.select(F.lit(topic).alias("topic"), "value", REASONS)
 
 
+def known_event_type() -> Column:
+    """True, or a stop of the job at an event type no rule handles."""
+    event_type = F.col("event_type")
+    message = F.concat(F.lit("unsupported event type: "), F.coalesce(event_type, F.lit("null")))
+    return F.when(event_type.isin(*EVENT_TYPES), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+
+
 def union_events(*events: DataFrame) -> DataFrame:
     first, *rest = events
     for other in rest:

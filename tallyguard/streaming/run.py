@@ -18,6 +18,7 @@ from tallyguard import contracts as C
 from tallyguard.config import JobConfig
 from tallyguard.functions.lines import order_line, user_line
 from tallyguard.operators.checks import broken_checks, order_alert_checks, user_alert_checks
+from tallyguard.operators.validate import quarantined
 from tallyguard.sinks.alert_log import append_batch, read_log
 from tallyguard.sinks.jdbc import merge_batch
 from tallyguard.sinks.shared import shared_folder
@@ -113,12 +114,13 @@ def start_job(
     console: bool = False,
     available_now: bool = False,
     max_files: int | None = None,
+    strict: bool = True,
     **rule_options,
 ) -> StreamingQuery:
     """Start one job in a session of its own; progress lives in the job's own checkpoint."""
     session = state_session(spark, config.shuffle_partitions)
     rules = JOBS[job][1]
-    alerts = rules(stream_events(raw_streams(session, job, config, lines_path, max_files)), **rule_options)
+    alerts = rules(stream_events(raw_streams(session, job, config, lines_path, max_files), strict), **rule_options)
     checkpoint = config.checkpoint_dir or shared_folder(spark, job)
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{config.trigger_seconds} seconds"}
     return (
@@ -131,6 +133,32 @@ def start_job(
     )
 
 
+def start_quarantine(
+    spark: SparkSession,
+    job: str,
+    config: JobConfig,
+    path: str,
+    lines_path: str | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Keep every text of the job's topics that breaks the contract, with the reasons, as JSON lines."""
+    raw = raw_streams(spark, job, config, lines_path)
+    bad = None
+    for topic, stream in raw.items():
+        mine = quarantined(stream, topic)
+        bad = mine if bad is None else bad.unionByName(mine)
+    checkpoint = f"{config.checkpoint_dir.rstrip('/')}-quarantine" if config.checkpoint_dir else None
+    trigger = {"availableNow": True} if available_now else {"processingTime": f"{config.trigger_seconds} seconds"}
+    return (
+        bad.writeStream.queryName(f"{job}-quarantine")
+        .format("json")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint or shared_folder(spark, f"{job}-quarantine"))
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def run_with_restarts(start: Callable[[], StreamingQuery], restarts: int, delay_seconds: float) -> None:
     """Wait for the query; after a failure start it again from its checkpoint, at most ``restarts`` times."""
     for number in range(restarts + 1):
@@ -148,15 +176,29 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("--alerts", help="folder of the alert log; without it alerts go to MySQL")
     parser.add_argument("--lines", help="folder with JSON lines per topic instead of Kafka")
+    parser.add_argument("--quarantine", help="keep invalid texts in this folder; malformed ones no longer stop the job")
     parser.add_argument("--console", action="store_true", help="also print each alert in one line")
     parser.add_argument("--available-now", action="store_true", help="process what is there and stop")
     options = parser.parse_args(arguments)
     config = JobConfig.from_env(options.job)
     spark = SparkSession.builder.appName(options.job).getOrCreate()
+    if options.quarantine:
+        start_quarantine(spark, options.job, config, options.quarantine, options.lines, options.available_now)
+
+    def start() -> StreamingQuery:
+        return start_job(
+            spark,
+            options.job,
+            config,
+            options.alerts,
+            options.lines,
+            options.console,
+            options.available_now,
+            strict=not options.quarantine,
+        )
+
     run_with_restarts(
-        lambda: start_job(
-            spark, options.job, config, options.alerts, options.lines, options.console, options.available_now
-        ),
+        start,
         config.restarts,
         config.restart_delay_seconds,
     )
