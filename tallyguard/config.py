@@ -87,6 +87,7 @@ class JobConfig:
     trigger_seconds: int = 60
     sink_batch_rows: int = 100
     sink_retries: int = 3
+    sink_connections: int = 16
     restarts: int = 3
     restart_delay_seconds: int = 30
 

@@ -107,7 +107,7 @@ alerts AS (
          CAST(detail_count AS BIGINT) AS detail_count,
          {local('payment_ms + 120000')} AS alert_time, CAST({local('payment_ms + 120000')} AS DATE) AS alert_date
   FROM v)"""
-ORDER_ALERTS = f"""WITH {ORDER_CTES},{ALERTS}
+ORDER_COLUMNS = f"""
 SELECT alert_id, alert_type, risk_item, risk_level, risk_reason, order_id, user_id, shop_id, payment_id,
        CAST(order_create_time AS VARCHAR) AS order_create_time, CAST(payment_time AS VARCHAR) AS payment_time,
        {double('order_amount')} AS order_amount, {double('detail_amount')} AS detail_amount,
@@ -115,6 +115,13 @@ SELECT alert_id, alert_type, risk_item, risk_level, risk_reason, order_id, user_
        time_difference_seconds, detail_count, CAST(alert_time AS VARCHAR) AS alert_time,
        CAST(alert_date AS VARCHAR) AS alert_date
 FROM alerts"""
+ORDER_ALERTS = f"WITH {ORDER_CTES},{ALERTS}{ORDER_COLUMNS}"
+# Two lines per order instead of the table's, seven cents too much in every fourth order.
+SPLIT_TOTALS = f"""
+tot AS (SELECT o_orderkey AS order_id, CAST(2 AS BIGINT) AS detail_count,
+               {money("o_totalprice")} + CASE WHEN o_orderkey % 4 = 0 THEN 0.07 ELSE 0.00 END AS detail_amount
+        FROM orders)"""
+SPLIT_ALERTS = f"WITH {','.join([ORDERS, PAYMENTS, SPLIT_TOTALS, SNAPSHOTS])},{ALERTS}{ORDER_COLUMNS}"
 
 # User rules: 7 day windows sliding by a day (wait 12 h, more than 2), 24 h windows by 4 h (3 or more).
 UNPAID_SIZE, UNPAID_SLIDE, UNPAID_WAIT = 7 * DAY_MS, DAY_MS, 12 * HOUR_MS
@@ -306,5 +313,6 @@ SELECT count(*) AS alerts, count(DISTINCT alert_id) AS alert_ids, count(*) - cou
 FROM alerts""",
     "o11_replayed_order_alerts": ORDER_ALERTS,
     "stream_order_alerts": ORDER_ALERTS,
+    "stream_order_alerts_immutable": SPLIT_ALERTS,
     "stream_user_alerts": user_alerts(),
 }

@@ -373,6 +373,14 @@ def _stream_orders(spark, sf_dir):
     return run_over_tables(spark, events, topics, stream_order_alerts, DAY)
 
 
+def _stream_immutable_orders(spark, sf_dir):
+    """The variant for immutable facts, on lines that are sent once."""
+    parts = (tables.order_events, tables.split_details, tables.payment_events)
+    events = validate.union_events(*[part(spark, sf_dir) for part in parts])
+    topics = [C.ORDER_TOPIC, C.DETAIL_TOPIC, C.PAYMENT_TOPIC]
+    return run_over_tables(spark, events, topics, lambda s: stream_order_alerts(s, immutable_facts=True), DAY)
+
+
 def _stream_users(spark, sf_dir):
     events = tables.activity_events(spark, sf_dir)
     longest = max(ACTIVITY_PARAMS.unpaid.size_ms + ACTIVITY_PARAMS.unpaid.wait_ms, ACTIVITY_PARAMS.failure.size_ms)
@@ -427,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "o11_id_collisions": o11_id_collisions,
     "o11_replayed_order_alerts": o11_replayed_order_alerts,
     "stream_order_alerts": _stream_orders,
+    "stream_order_alerts_immutable": _stream_immutable_orders,
     "stream_user_alerts": _stream_users,
 }
 

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def append_batch(alerts: DataFrame, path: str, batch_id: int) -> None:
-    alerts.write.mode("overwrite").partitionBy("alert_date").parquet(f"{path}/batch={batch_id}")
+def append_batch(alerts: DataFrame, path: str, batch_id: int, files_per_date: int = 8) -> None:
+    """Write one batch; the rows of a date go to a few files, however many tasks made them."""
+    part = F.pmod(F.xxhash64("alert_id"), F.lit(files_per_date))
+    rows = alerts.repartition("alert_date", part)
+    rows.write.mode("overwrite").partitionBy("alert_date").parquet(f"{path}/batch={batch_id}")
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -23,6 +23,8 @@ def staging_options(config: JobConfig, staging: str) -> dict[str, str]:
         "password": config.mysql_password or "",
         "dbtable": staging,
         "batchsize": str(config.sink_batch_rows),
+        # A bound on connections; it follows the shuffle of ``merge_batch``.
+        "numPartitions": str(config.sink_connections),
     }
 
 

@@ -47,8 +47,11 @@ def _distinct(batches):
         yield from table.to_batches()
 
 
-def distinct_facts(facts: DataFrame, keys: list[str], disorder_ms: int, allowance_ms: int) -> DataFrame:
-    """Facts with an event-time column, one per (keys, ``event_id``) within the watermark.
+def distinct_facts(
+    facts: DataFrame, keys: list[str], disorder_ms: int, allowance_ms: int, by_event: bool = True
+) -> DataFrame:
+    """Facts with an event-time column, one per (keys, ``event_id``) within the watermark,
+    or one per ``keys`` alone.
 
     Copies that arrive together are dropped per Arrow batch before the shuffle, so an
     event sent a million times does not end up in one task. The watermark trails the
@@ -59,7 +62,7 @@ def distinct_facts(facts: DataFrame, keys: list[str], disorder_ms: int, allowanc
     merged = facts.mapInArrow(_distinct, facts.schema)
     delay = f"{disorder_ms + allowance_ms} milliseconds"
     timed = merged.withColumn("event_ts", F.timestamp_millis("event_time_ms")).withWatermark("event_ts", delay)
-    return timed.dropDuplicatesWithinWatermark([*keys, "event_id"])
+    return timed.dropDuplicatesWithinWatermark([*keys, "event_id"] if by_event else keys)
 
 
 def with_late_count(changes: DataFrame) -> DataFrame:

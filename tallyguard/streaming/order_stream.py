@@ -8,15 +8,20 @@ from decimal import Decimal
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tallyguard.config import OrderParams
+from tallyguard.contracts import MONEY
 from tallyguard.operators.order_rules import order_alerts, order_facts
 from tallyguard.streaming.facts import ORDER_CHANGE_SCHEMA, OrderFact
 from tallyguard.streaming.intake import distinct_facts, with_late_count
 
-CHANGE_COLUMNS = "order_id bigint, change string, fact_id bigint, amount decimal(20,2), number bigint, " + (
-    "time_ms bigint, user_id bigint, shop_id bigint, event_time_ms bigint"
+CHANGES = T.StructType(
+    [T.StructField("order_id", T.LongType()), T.StructField("change", T.StringType())]
+    + [T.StructField("fact_id", T.LongType()), T.StructField("amount", MONEY)]
+    + [T.StructField(n, T.LongType()) for n in ("number", "time_ms", "user_id", "shop_id", "event_time_ms")]
 )
 SNAPSHOT_SCHEMA = (
     "order_id bigint, user_id bigint, shop_id bigint, order_amount decimal(20,2), create_ms bigint, "
@@ -139,27 +144,55 @@ class OrderJudge(StatefulProcessor):
             self.handle.registerTimer(expiry)
 
 
-def stream_snapshots(
-    events: DataFrame, params: OrderParams = OrderParams(), allowance_ms: int | None = None
-) -> DataFrame:
-    """Snapshots of paid orders as their wait ends in event time."""
-    allowance = params.ttl_ms if allowance_ms is None else allowance_ms
-    facts = distinct_facts(order_facts(events), ["order_id"], params.disorder_ms, allowance)
+def versioned_changes(facts: DataFrame, params: OrderParams, allowance_ms: int) -> DataFrame:
+    """What facts change, where a later version of a fact replaces the earlier one."""
     changes = facts.groupBy("order_id", "fact", "fact_id").transformWithState(
-        OrderFact(params.ttl_ms, allowance),
+        OrderFact(params.ttl_ms, allowance_ms),
         ORDER_CHANGE_SCHEMA,
         "append",
         "eventTime",
         eventTimeColumnName="event_ts",
     )
-    counted = with_late_count(changes).filter("change <> 'none'")
-    merged = counted.drop("late", "event_ts").mapInArrow(merge_details, CHANGE_COLUMNS)
+    return with_late_count(changes).filter("change <> 'none'")
+
+
+def immutable_changes(facts: DataFrame) -> DataFrame:
+    """What facts change, where a fact has one version: no state but that of the duplicates."""
+    change = F.when(F.col("fact") != "payment", F.col("fact")).when(F.col("success"), F.lit("success"))
+    return facts.withColumns({"change": change, "number": F.lit(1).cast("bigint")}).filter(change.isNotNull())
+
+
+def stream_snapshots(
+    events: DataFrame,
+    params: OrderParams = OrderParams(),
+    allowance_ms: int | None = None,
+    immutable_facts: bool = False,
+) -> DataFrame:
+    """Snapshots of paid orders as their wait ends in event time.
+
+    ``immutable_facts`` is for producers that keep the contract's promise never to send
+    a second version of an order, a line or a payment attempt: facts then need no state
+    in Python. Late rows are used all the same but not counted.
+    """
+    allowance = params.ttl_ms if allowance_ms is None else allowance_ms
+    if immutable_facts:
+        keys = ["order_id", "fact", "fact_id"]
+        changes = immutable_changes(
+            distinct_facts(order_facts(events), keys, params.disorder_ms, allowance, by_event=False)
+        )
+    else:
+        facts = distinct_facts(order_facts(events), ["order_id"], params.disorder_ms, allowance)
+        changes = versioned_changes(facts, params, allowance)
+    merged = changes.select(*CHANGES.names).mapInArrow(merge_details, CHANGES)
     return merged.groupBy("order_id").transformWithState(
         OrderJudge(params, allowance), SNAPSHOT_SCHEMA, "append", "eventTime"
     )
 
 
 def stream_order_alerts(
-    events: DataFrame, params: OrderParams = OrderParams(), allowance_ms: int | None = None
+    events: DataFrame,
+    params: OrderParams = OrderParams(),
+    allowance_ms: int | None = None,
+    immutable_facts: bool = False,
 ) -> DataFrame:
-    return order_alerts(stream_snapshots(events, params, allowance_ms), params)
+    return order_alerts(stream_snapshots(events, params, allowance_ms, immutable_facts), params)

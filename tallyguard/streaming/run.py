@@ -178,6 +178,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--lines", help="folder with JSON lines per topic instead of Kafka")
     parser.add_argument("--quarantine", help="keep invalid texts in this folder; malformed ones no longer stop the job")
     parser.add_argument("--console", action="store_true", help="also print each alert in one line")
+    parser.add_argument(
+        "--immutable-facts", action="store_true", help="order-risk only: the producer never sends second versions"
+    )
     parser.add_argument("--available-now", action="store_true", help="process what is there and stop")
     options = parser.parse_args(arguments)
     config = JobConfig.from_env(options.job)
@@ -185,6 +188,8 @@ def main(arguments: list[str] | None = None) -> None:
     if options.quarantine:
         start_quarantine(spark, options.job, config, options.quarantine, options.lines, options.available_now)
 
+    rule_options = {"immutable_facts": True} if options.immutable_facts else {}
+
     def start() -> StreamingQuery:
         return start_job(
             spark,
@@ -195,6 +200,7 @@ def main(arguments: list[str] | None = None) -> None:
             options.console,
             options.available_now,
             strict=not options.quarantine,
+            **rule_options,
         )
 
     run_with_restarts(
