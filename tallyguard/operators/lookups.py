@@ -22,4 +22,4 @@ def alerts_of_type(
 
 def alerts_of(alerts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Alerts of the orders (or users) listed in ``keys``, by key and time."""
-    return alerts.join(keys.select(key), key, "left_semi").orderBy(key, "alert_time", "alert_id")
+    return alerts.join(keys.select(key).distinct(), key, "left_semi").orderBy(key, "alert_time", "alert_id")
