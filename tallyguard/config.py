@@ -82,6 +82,7 @@ class JobConfig:
     mysql_url: str | None
     mysql_user: str | None
     mysql_password: str | None
+    mysql_driver: str = "com.mysql.cj.jdbc.Driver"
     # State partitions, fixed by a checkpoint's first run; by default the session's number.
     shuffle_partitions: int | None = None
     trigger_seconds: int = 60

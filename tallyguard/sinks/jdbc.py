@@ -22,6 +22,7 @@ def staging_options(config: JobConfig, staging: str) -> dict[str, str]:
         "user": config.mysql_user or "",
         "password": config.mysql_password or "",
         "dbtable": staging,
+        "driver": config.mysql_driver,
         "batchsize": str(config.sink_batch_rows),
         # A bound on connections; it follows the shuffle of ``merge_batch``.
         "numPartitions": str(config.sink_connections),
@@ -30,8 +31,13 @@ def staging_options(config: JobConfig, staging: str) -> dict[str, str]:
 
 def _execute(spark: SparkSession, config: JobConfig, statement: str) -> None:
     """One statement on the driver; the data frame API can only append or overwrite."""
-    manager = spark._jvm.java.sql.DriverManager
-    connection = manager.getConnection(config.mysql_url, config.mysql_user, config.mysql_password)
+    jvm = spark._jvm
+    properties = jvm.java.util.Properties()
+    properties.setProperty("user", config.mysql_user or "")
+    properties.setProperty("password", config.mysql_password or "")
+    # Jars added at submission are known to the thread's class loader only.
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    connection = loader.loadClass(config.mysql_driver).newInstance().connect(config.mysql_url, properties)
     try:
         connection.createStatement().executeUpdate(statement)
     finally:

@@ -50,6 +50,7 @@ class Job:
         )
         self.query = None
         self.progress = []
+        self.rule_options = {}
 
     def feed(self, *records):
         by_topic = {}
@@ -67,6 +68,7 @@ class Job:
             alert_path=f"{self.folder}/alerts",
             lines_path=f"{self.folder}/in",
             available_now=True,
+            **self.rule_options,
         )
         # A query per feed: every feed is also a restart from the checkpoint.
         self.query.awaitTermination()
@@ -224,6 +226,38 @@ def test_success_of_another_user_does_not_clear_an_order(spark):
     assert len(other.ids()) == 1
 
 
+def test_late_failures_judge_open_windows_but_none_twice(spark):
+    fail = lambda i, user, at: payment(i, i, user, 1.0, clock(at), ok=False)
+    job = Job(spark, C.USER_JOB).feed(fail(1, 1, 0), fail(2, 1, 9))
+    # Past the end of all windows of these two failures; within the allowance for late rows.
+    job.feed(fail(3, 9, 500))
+    job.feed(fail(4, 1, 5), *[fail(10 + i, 2, 5 + i) for i in range(3)])
+    job.feed(closing())
+    assert {(r.user_id, r.failed_payment_count) for r in job.alerts()} == {(2, 3)}
+    assert job.late() == 4
+
+
+def test_quarantine_stream_keeps_bad_texts(spark):
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    for topic in C.TOPIC_SCHEMAS:
+        os.makedirs(f"{folder}/in/{topic}")
+    with open(f"{folder}/in/{C.ORDER_TOPIC}/a.json", "w") as out:
+        out.write("nonsense\n" + json.dumps(SAMPLE_ORDERS[0]) + "\n")
+    config = JobConfig(C.ORDER_JOB, f"{folder}/checkpoint/", None, None, None, None)
+    query = run.start_quarantine(spark, C.ORDER_JOB, config, f"{folder}/bad", f"{folder}/in", available_now=True)
+    query.awaitTermination()
+    rows = spark.read.schema("topic string, value string, reasons array<string>").json(f"{folder}/bad").collect()
+    assert [(r.topic, r.value, r.reasons) for r in rows] == [(C.ORDER_TOPIC, "nonsense", ["malformed_json"])]
+
+
+def test_immutable_facts_give_the_samples_alerts(spark):
+    job = Job(spark, C.ORDER_JOB)
+    job.rule_options = {"immutable_facts": True}
+    samples = SAMPLE_ORDERS + SAMPLE_DETAILS + SAMPLE_PAYMENTS
+    assert job.feed(*samples).feed(*samples).ids() == set(GOLDEN_ORDER_IDS)
+    assert job.written() == 4
+
+
 def test_malformed_text_stops_a_strict_job(spark):
     job = Job(spark, C.ORDER_JOB)
     with open(f"{job.folder}/in/{C.ORDER_TOPIC}/bad.json", "w") as out:
