@@ -16,12 +16,12 @@ from tallyguard.contracts import (
     TOPIC_SCHEMAS,
 )
 from tallyguard.functions.times import business_date, parse_millis
-from tallyguard.sources.json_events import CORRUPT, KEYS, parse_topic
+from tallyguard.sources.json_events import CORRUPT, KEYS, MISFITS, NULLS, parse_topic
 
 REASONS = "reasons"
 INVALID_EVENTS = "invalid_time_or_contract_events"
 # Breaches of the JSON form stop a strict job; the other reasons only drop the record.
-FORM_REASONS = ("malformed_json", "missing:")
+FORM_REASONS = ("malformed_json", "missing:", "type:")
 
 
 def contract_rules(topic: str) -> dict[str, Column]:
@@ -34,8 +34,12 @@ def contract_rules(topic: str) -> dict[str, Column]:
     rules = {"malformed_json": formed}
     rules |= {f"missing:{n}": ~formed | F.array_contains(KEYS, n) for n in names}
     rules |= {
-        f"null:{n}": ~formed | ~F.array_contains(KEYS, n) | F.col(n).isNotNull() for n in names
+        f"null:{n}": ~formed | ~F.array_contains(KEYS, n) | ~F.array_contains(NULLS, n) for n in names
     }
+    for f in TOPIC_SCHEMAS[topic].fields:
+        if not isinstance(f.dataType, T.StringType):
+            breach = "range" if isinstance(f.dataType, T.DecimalType) else "type"
+            rules[f"{breach}:{f.name}"] = ~formed | ~F.array_contains(MISFITS, f.name)
 
     def met(condition: Column, *inputs: str) -> Column:
         present = formed
@@ -106,7 +110,13 @@ def _as_events(checked: DataFrame, topic: str) -> DataFrame:
 
 
 def _ill_formed() -> Column:
-    return F.exists(REASONS, lambda r: (r == FORM_REASONS[0]) | r.startswith(FORM_REASONS[1]))
+    def of_form(reason: Column) -> Column:
+        first, *others = [reason.startswith(name) for name in FORM_REASONS]
+        for other in others:
+            first = first | other
+        return first
+
+    return F.exists(REASONS, of_form)
 
 
 def valid_events(raw: DataFrame, topic: str, strict: bool = True, extra: bool = False) -> DataFrame:

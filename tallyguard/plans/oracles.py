@@ -213,7 +213,7 @@ SELECT 'ods_payment_info' AS topic, payment_id,
        CASE payment_id % 13 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'missing:payment_status'
          WHEN 2 THEN 'null:payment_amount' WHEN 3 THEN 'event_time' WHEN 4 THEN 'business_date'
          WHEN 5 THEN 'payload_time' WHEN 6 THEN 'payment_status' WHEN 7 THEN 'event_type'
-         ELSE 'malformed_json' END AS reasons
+         ELSE 'range:payment_amount' END AS reasons
 FROM pay WHERE payment_id % 13 <= 8""",
     "v_valid_payments": f"""WITH {PAYMENTS}
 SELECT event_id, event_type, payment_id, order_id, {double('payment_amount')} AS payment_amount,

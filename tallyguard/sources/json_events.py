@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,19 +10,45 @@ from tallyguard.contracts import TOPIC_SCHEMAS
 
 CORRUPT = "_corrupt"
 KEYS = "_keys"
+# Fields without a value, and fields whose value does not fit the type.
+NULLS = "_nulls"
+MISFITS = "_misfits"
+# Wide enough to tell an amount that is out of range from one that is no number.
+WIDE_MONEY = T.DecimalType(38, 10)
+
+
+def _read_type(dtype: T.DataType) -> T.DataType:
+    """Amounts are read exactly and wide; integers as text, since producers may quote them."""
+    return WIDE_MONEY if isinstance(dtype, T.DecimalType) else T.StringType()
+
+
+def _names(conditions: dict[str, Column]) -> Column:
+    return F.array_compact(F.array(*[F.when(met, F.lit(name)) for name, met in conditions.items()]))
 
 
 def parse_topic(raw: DataFrame, topic: str) -> DataFrame:
     """Parse the ``value`` text of ``raw`` with the topic's schema.
 
-    Besides the topic's columns the result carries ``value``, the corrupt text
-    (null when the JSON fits the schema) and the JSON object's keys, which tell a
-    missing field from a null one. ``inline`` keeps the parse in one operator, so
-    filters on its columns do not repeat it.
+    Besides the topic's columns the result carries ``value``, the corrupt text (null
+    when the JSON fits), the JSON object's keys, which tell a missing field from a null
+    one, and the names of null fields and of fields that do not fit their type. Both
+    steps are generators, so filters on their columns do not repeat them.
     """
-    schema = T.StructType([*TOPIC_SCHEMAS[topic].fields, T.StructField(CORRUPT, T.StringType())])
+    fields = TOPIC_SCHEMAS[topic].fields
+    schema = T.StructType([T.StructField(f.name, _read_type(f.dataType)) for f in fields])
     parsed = F.from_json(
-        F.col("value"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        F.col("value"), schema.add(CORRUPT, T.StringType()), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    )
+    read = raw.select("value", F.explode(F.array(parsed)).alias("_read"), F.json_object_keys("value").alias(KEYS))
+    values = {f.name: F.col("_read")[f.name] for f in fields}
+    typed = {
+        f.name: values[f.name] if isinstance(f.dataType, T.StringType) else values[f.name].try_cast(f.dataType)
+        for f in fields
+    }
+    row = F.struct(
+        *[column.alias(name) for name, column in typed.items()],
+        F.col("_read")[CORRUPT].alias(CORRUPT),
+        _names({name: column.isNull() for name, column in values.items()}).alias(NULLS),
+        _names({n: values[n].isNotNull() & typed[n].isNull() for n in typed}).alias(MISFITS),
     )
-    row = F.array(F.struct(parsed.alias("p"), F.json_object_keys("value").alias(KEYS)))
-    return raw.select("value", F.inline(row)).select("value", "p.*", KEYS)
+    return read.select("value", KEYS, F.inline(F.array(row)))

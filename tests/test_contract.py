@@ -32,7 +32,11 @@ CASES = [
     (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "business_date": "20260826"}, ["business_date"]),
     (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "create_time": T + ".001"}, ["payload_time"]),
     (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "create_time": "soon"}, ["payload_time"]),
-    (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "order_amount": 10**25}, ["malformed_json"]),
+    (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "order_amount": 10**25}, ["range:order_amount"]),
+    (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "order_amount": "ten"}, ["malformed_json"]),
+    (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "order_id": 1.5}, ["type:order_id"]),
+    (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "shop_id": 10**19}, ["type:shop_id"]),
+    (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "order_id": "12", "order_amount": "3.10"}, []),
     (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "create_time": T + ".000"}, []),
     (C.DETAIL_TOPIC, {**detail(1, 1, 1.0, T), "sku_num": None}, ["null:sku_num"]),
     (C.DETAIL_TOPIC, {**detail(1, 1, 1.0, T), "sku_num": -1}, []),
@@ -63,8 +67,9 @@ def test_every_rule_quarantines_with_its_reason(spark):
 
 
 def test_strict_mode_stops_on_form_only(spark):
-    bad_time = lines(spark, [{**order(1, 1, 1.0, T), "event_time": "soon"}, order(2, 1, 1.0, T)])
-    assert [r.order_id for r in valid_events(bad_time, C.ORDER_TOPIC).collect()] == [2]
+    dropped = [{"event_time": "soon"}, {"order_amount": 10**20}, {"user_id": None}]
+    bad = lines(spark, [{**order(1, 1, 1.0, T), **d} for d in dropped] + [order(2, 1, 1.0, T)])
+    assert [r.order_id for r in valid_events(bad, C.ORDER_TOPIC).collect()] == [2]
     for record in (without(order(1, 1, 1.0, T), "shop_id"), {**order(1, 1, 1.0, T), "order_id": "x"}):
         with pytest.raises(Exception, match="ods_order_info: "):
             valid_events(lines(spark, [record]), C.ORDER_TOPIC).collect()
