@@ -15,8 +15,8 @@ from tallyguard.contracts import (
     TOPIC_EVENT_TYPES,
     TOPIC_SCHEMAS,
 )
-from tallyguard.functions.times import business_date, parse_millis
-from tallyguard.sources.json_events import CORRUPT, KEYS, MISFITS, NULLS, parse_topic
+from tallyguard.functions.times import parse_millis
+from tallyguard.sources.json_events import CORRUPT, WHOLE, form_breaches, parse_topic
 
 REASONS = "reasons"
 INVALID_EVENTS = "invalid_time_or_contract_events"
@@ -24,48 +24,22 @@ INVALID_EVENTS = "invalid_time_or_contract_events"
 FORM_REASONS = ("malformed_json", "missing:", "type:")
 
 
-def contract_rules(topic: str) -> dict[str, Column]:
-    """Rule name to the condition a parsed record has to meet, in reporting order.
-
-    A rule about a value is met when the value is null: the null has its own reason.
-    """
-    names = TOPIC_SCHEMAS[topic].names
-    formed = F.col(CORRUPT).isNull() & F.col(KEYS).isNotNull()
-    rules = {"malformed_json": formed}
-    rules |= {f"missing:{n}": ~formed | F.array_contains(KEYS, n) for n in names}
-    rules |= {
-        f"null:{n}": ~formed | ~F.array_contains(KEYS, n) | ~F.array_contains(NULLS, n) for n in names
+def business_rules(topic: str) -> dict[str, Column]:
+    """Rules about values; null where an input is null, since the null has its own reason."""
+    event_type, event_ms = F.col("event_type"), F.col("event_time_ms")
+    # A valid time text is in the business zone, so its date digits are the business date.
+    date_digits = F.translate(F.substring("event_time", 1, 10), "-", "")
+    in_time = F.when(F.col("event_time").isNotNull(), event_ms.isNotNull())
+    timed = event_ms.isNotNull() & F.col(PAYLOAD_TIME[topic]).isNotNull()
+    rules = {
+        "event_type": event_type.isin(*TOPIC_EVENT_TYPES[topic]),
+        "event_time": in_time,
+        "business_date": F.when(event_ms.isNotNull(), date_digits == F.col("business_date")),
+        "payload_time": F.when(timed, F.col("payload_time_ms").eqNullSafe(event_ms)),
     }
-    for f in TOPIC_SCHEMAS[topic].fields:
-        if not isinstance(f.dataType, T.StringType):
-            breach = "range" if isinstance(f.dataType, T.DecimalType) else "type"
-            rules[f"{breach}:{f.name}"] = ~formed | ~F.array_contains(MISFITS, f.name)
-
-    def met(condition: Column, *inputs: str) -> Column:
-        present = formed
-        for name in inputs:
-            present = present & F.col(name).isNotNull()
-        return ~present | F.coalesce(condition, F.lit(False))
-
-    payload = PAYLOAD_TIME[topic]
-    rules["event_type"] = met(F.col("event_type").isin(*TOPIC_EVENT_TYPES[topic]), "event_type")
-    rules["event_time"] = met(F.col("event_time_ms").isNotNull(), "event_time")
-    rules["business_date"] = met(
-        F.col("event_time_ms").isNull() | (business_date(F.col("event_time_ms")) == F.col("business_date")),
-        "event_time",
-        "business_date",
-    )
-    rules["payload_time"] = met(
-        F.col("event_time_ms").isNull() | (F.col("payload_time_ms") == F.col("event_time_ms")),
-        "event_time",
-        payload,
-    )
     if topic == PAYMENT_TOPIC:
-        status = F.col("payment_status")
-        fits = ~F.col("event_type").isin(*STATUS_OF_TYPE)
-        for event_type, expected in STATUS_OF_TYPE.items():
-            fits = fits | ((F.col("event_type") == event_type) & (status == expected))
-        rules["payment_status"] = met(fits, "event_type", "payment_status")
+        expected = F.create_map(*[F.lit(text) for pair in STATUS_OF_TYPE.items() for text in pair])
+        rules["payment_status"] = F.try_element_at(expected, event_type) == F.col("payment_status")
     return rules
 
 
@@ -82,16 +56,24 @@ def optional_rules(topic: str) -> dict[str, Column]:
 
 def with_reasons(raw: DataFrame, topic: str, extra: bool = False) -> DataFrame:
     """Parsed columns of ``raw`` plus the array of broken rules' names."""
-    times = F.struct(
-        parse_millis(F.col("event_time")).alias("event_time_ms"),
-        parse_millis(F.col(PAYLOAD_TIME[topic])).alias("payload_time_ms"),
-    )
-    parsed = parse_topic(raw, topic).select("*", F.inline(F.array(times)))
-    rules = contract_rules(topic) | (optional_rules(topic) if extra else {})
-    broken = F.array_compact(F.array(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()]))
+    event_time, payload_time = F.col("event_time"), F.col(PAYLOAD_TIME[topic])
+    event_ms = F.explode(F.array(parse_millis(event_time))).alias("event_time_ms")
+    parsed = parse_topic(raw, topic).select("*", event_ms)
+    payload_ms = F.when(payload_time == event_time, F.col("event_time_ms")).otherwise(parse_millis(payload_time))
+    timed = parsed.select("*", F.explode(F.array(payload_ms)).alias("payload_time_ms"))
+
+    rules = business_rules(topic) | (optional_rules(topic) if extra else {})
+    rules = {name: F.coalesce(ok, F.lit(True)) for name, ok in rules.items()}
+    sound = F.col(WHOLE)
+    for ok in rules.values():
+        sound = sound & ok
+    of_form = F.when(F.col(WHOLE), F.array().cast("array<string>")).otherwise(form_breaches(topic))
+    of_values = F.array(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()])
+    of_values = F.when(F.col(CORRUPT).isNull(), F.array_compact(of_values)).otherwise(F.array())
+    reasons = F.when(sound, F.array().cast("array<string>")).otherwise(F.concat(of_form, of_values))
     # As generator outputs, times and reasons are computed once; a plain column would
     # be copied into every later filter that reads it.
-    return parsed.select("*", F.explode(F.array(broken)).alias(REASONS))
+    return timed.select("*", F.explode(F.array(reasons)).alias(REASONS))
 
 
 def _as_events(checked: DataFrame, topic: str) -> DataFrame:

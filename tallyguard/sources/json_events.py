@@ -9,10 +9,8 @@ from pyspark.sql import types as T
 from tallyguard.contracts import TOPIC_SCHEMAS
 
 CORRUPT = "_corrupt"
-KEYS = "_keys"
-# Fields without a value, and fields whose value does not fit the type.
-NULLS = "_nulls"
-MISFITS = "_misfits"
+# Whether the text is JSON and every field has a value that fits its type.
+WHOLE = "_whole"
 # Wide enough to tell an amount that is out of range from one that is no number.
 WIDE_MONEY = T.DecimalType(38, 10)
 
@@ -22,33 +20,61 @@ def _read_type(dtype: T.DataType) -> T.DataType:
     return WIDE_MONEY if isinstance(dtype, T.DecimalType) else T.StringType()
 
 
-def _names(conditions: dict[str, Column]) -> Column:
-    return F.array_compact(F.array(*[F.when(met, F.lit(name)) for name, met in conditions.items()]))
+def _fit(f: T.StructField, read: Column) -> Column:
+    return read if isinstance(f.dataType, T.StringType) else read.try_cast(f.dataType)
+
+
+def _parsed(topic: str) -> Column:
+    schema = T.StructType([T.StructField(f.name, _read_type(f.dataType)) for f in TOPIC_SCHEMAS[topic].fields])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return F.from_json(F.col("value"), schema.add(CORRUPT, T.StringType()), options)
 
 
 def parse_topic(raw: DataFrame, topic: str) -> DataFrame:
     """Parse the ``value`` text of ``raw`` with the topic's schema.
 
     Besides the topic's columns the result carries ``value``, the corrupt text (null
-    when the JSON fits), the JSON object's keys, which tell a missing field from a null
-    one, and the names of null fields and of fields that do not fit their type. Both
-    steps are generators, so filters on their columns do not repeat them.
+    when the JSON fits) and whether the record is whole. Both steps are generators, so
+    filters on their columns do not repeat them.
     """
     fields = TOPIC_SCHEMAS[topic].fields
-    schema = T.StructType([T.StructField(f.name, _read_type(f.dataType)) for f in fields])
-    parsed = F.from_json(
-        F.col("value"), schema.add(CORRUPT, T.StringType()), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
-    read = raw.select("value", F.explode(F.array(parsed)).alias("_read"), F.json_object_keys("value").alias(KEYS))
-    values = {f.name: F.col("_read")[f.name] for f in fields}
-    typed = {
-        f.name: values[f.name] if isinstance(f.dataType, T.StringType) else values[f.name].try_cast(f.dataType)
-        for f in fields
-    }
-    row = F.struct(
-        *[column.alias(name) for name, column in typed.items()],
-        F.col("_read")[CORRUPT].alias(CORRUPT),
-        _names({name: column.isNull() for name, column in values.items()}).alias(NULLS),
-        _names({n: values[n].isNotNull() & typed[n].isNull() for n in typed}).alias(MISFITS),
-    )
-    return read.select("value", KEYS, F.inline(F.array(row)))
+    read = raw.select("value", F.explode(F.array(_parsed(topic))).alias("_read"))
+    corrupt = F.col("_read")[CORRUPT]
+    typed = {f.name: _fit(f, F.col("_read")[f.name]) for f in fields}
+    whole = corrupt.isNull()
+    for column in typed.values():
+        whole = whole & column.isNotNull()
+    columns = [column.alias(name) for name, column in typed.items()]
+    row = F.struct(*columns, corrupt.alias(CORRUPT), whole.alias(WHOLE))
+    return read.select("value", F.inline(F.array(row)))
+
+
+def form_breaches(topic: str) -> Column:
+    """Names of what keeps the ``value`` text from being a whole record of the topic.
+
+    The text is parsed again, and the object's keys tell a missing field from a null
+    one; so this belongs behind a test for records that are not whole. As a lambda's
+    body it is evaluated only there and stays out of the generated code.
+    """
+    fields = TOPIC_SCHEMAS[topic].fields
+    again = F.struct(_parsed(topic).alias("read"), F.json_object_keys("value").alias("keys"))
+
+    def breaches(record: Column) -> Column:
+        read, keys = record["read"], record["keys"]
+        formed = read[CORRUPT].isNull() & keys.isNotNull()
+        missing = [F.when(~F.array_contains(keys, f.name), F.lit(f"missing:{f.name}")) for f in fields]
+        null = [
+            F.when(F.array_contains(keys, f.name) & read[f.name].isNull(), F.lit(f"null:{f.name}")) for f in fields
+        ]
+        misfit = [
+            F.when(
+                read[f.name].isNotNull() & _fit(f, read[f.name]).isNull(),
+                F.lit(f"{'range' if isinstance(f.dataType, T.DecimalType) else 'type'}:{f.name}"),
+            )
+            for f in fields
+            if not isinstance(f.dataType, T.StringType)
+        ]
+        found = F.array_compact(F.array(*missing, *null, *misfit))
+        return F.when(formed, found).otherwise(F.array(F.lit("malformed_json")))
+
+    return F.get(F.transform(F.array(again), breaches), F.lit(0))
