@@ -9,7 +9,6 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import (
-    DAY,
     GOLDEN_ORDER_IDS,
     GOLDEN_USER_IDS,
     SAMPLE_DETAILS,
@@ -266,6 +265,25 @@ def test_malformed_text_stops_a_strict_job(spark):
         job.feed(closing())
 
 
+def test_processors_load_without_the_package():
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tallyguard.config import OrderParams, UserParams
+    from tallyguard.streaming.facts import OrderFact, UserFact
+    from tallyguard.streaming.intake import _distinct
+    from tallyguard.streaming.order_stream import OrderJudge, merge_details
+    from tallyguard.streaming.user_stream import UserJudge
+
+    shipped = [OrderFact(1, 1), UserFact(UserParams(), 1), OrderJudge(OrderParams(), 1), UserJudge(UserParams(), 1)]
+    data = cloudpickle.dumps([*shipped, merge_details, _distinct])
+    check = "import sys, pickle; assert len(pickle.loads(sys.stdin.buffer.read())) == 6; assert 'tallyguard' not in sys.modules"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", check], input=data, cwd="/tmp", env=env, check=True, timeout=120)
+
+
 def test_restarts_are_bounded():
     calls = []
 
