@@ -36,6 +36,23 @@ FAILURE_TYPE = "连续支付失败"
 HIGH_RISK = "高风险"
 MEDIUM_RISK = "中风险"
 
+# Reason texts; {} stands for a value.
+ORDER_MISSING_REASON = "成功支付已到达，但未收到对应订单创建事件"
+PAID_BEFORE_ORDER_REASON = "支付时间早于订单创建时间 {} 秒"
+DETAIL_MISMATCH_REASON = "订单明细金额合计与订单金额不一致，差额为 {} 元"
+PAID_MISMATCH_REASON = "支付金额与订单金额不一致，差额为 {} 元"
+UNPAID_REASON = "用户在 {} 秒内产生 {} 笔未支付订单，超过阈值 {} 笔"
+FAILURE_REASON = "用户在 {} 秒内连续支付失败 {} 次，达到阈值 {} 次"
+
+# The console line and its metric per kind of alert; {} stands for a value.
+ALERT_LINE = "告警ID={}，告警类型={}，风险等级={}，核心异常指标={}，告警时间={}"
+ORDER_MISSING_METRIC = "订单创建事件缺失"
+PAID_BEFORE_ORDER_METRIC = "支付早于下单{}秒"
+DETAIL_MISMATCH_METRIC = "明细金额差额{}元"
+PAID_MISMATCH_METRIC = "支付金额差额{}元"
+UNPAID_METRIC = "{}秒内未支付订单{}笔，阈值{}笔"
+FAILURE_METRIC = "{}秒内支付失败{}次，阈值{}次"
+
 # Rule codes that enter the alert ids.
 CODE_ORDER_MISSING = "01"
 CODE_PAID_BEFORE_ORDER = "02"

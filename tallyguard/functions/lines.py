@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyguard.contracts import DETAIL_MISMATCH, PAID_BEFORE_ORDER, PAID_MISMATCH, UNPAID_TYPE
+from tallyguard import contracts as C
 from tallyguard.functions.amounts import text_with
 
-# Fixed value: the frame every alert line shares.
-LINE = "告警ID={}，告警类型={}，风险等级={}，核心异常指标={}，告警时间={}"
-
 
 def _time(col: Column) -> Column:
     """Wall-clock text with at least one fraction digit."""
@@ -20,17 +17,17 @@ def _time(col: Column) -> Column:
 
 def _line(metric: Column) -> Column:
     return text_with(
-        LINE, F.col("alert_id"), F.col("alert_type"), F.col("risk_level"), metric, _time(F.col("alert_time"))
+        C.ALERT_LINE, F.col("alert_id"), F.col("alert_type"), F.col("risk_level"), metric, _time(F.col("alert_time"))
     )
 
 
 def order_line() -> Column:
     item = F.col("risk_item")
     return _line(
-        F.when(item == PAID_BEFORE_ORDER, text_with("支付早于下单{}秒", F.col("time_difference_seconds")))
-        .when(item == DETAIL_MISMATCH, text_with("明细金额差额{}元", F.col("difference_amount")))
-        .when(item == PAID_MISMATCH, text_with("支付金额差额{}元", F.col("difference_amount")))
-        .otherwise(F.lit("订单创建事件缺失"))
+        F.when(item == C.PAID_BEFORE_ORDER, text_with(C.PAID_BEFORE_ORDER_METRIC, F.col("time_difference_seconds")))
+        .when(item == C.DETAIL_MISMATCH, text_with(C.DETAIL_MISMATCH_METRIC, F.col("difference_amount")))
+        .when(item == C.PAID_MISMATCH, text_with(C.PAID_MISMATCH_METRIC, F.col("difference_amount")))
+        .otherwise(F.lit(C.ORDER_MISSING_METRIC))
     )
 
 
@@ -38,7 +35,7 @@ def user_line() -> Column:
     period, limit = F.col("stat_period_seconds"), F.col("threshold_count")
     return _line(
         F.when(
-            F.col("alert_type") == UNPAID_TYPE,
-            text_with("{}秒内未支付订单{}笔，阈值{}笔", period, F.col("unpaid_order_count"), limit),
-        ).otherwise(text_with("{}秒内支付失败{}次，阈值{}次", period, F.col("failed_payment_count"), limit))
+            F.col("alert_type") == C.UNPAID_TYPE,
+            text_with(C.UNPAID_METRIC, period, F.col("unpaid_order_count"), limit),
+        ).otherwise(text_with(C.FAILURE_METRIC, period, F.col("failed_payment_count"), limit))
     )

@@ -13,6 +13,7 @@ from tallyguard.contracts import (
     CODE_PAID_BEFORE_ORDER,
     CODE_PAID_MISMATCH,
     DETAIL_MISMATCH,
+    DETAIL_MISMATCH_REASON,
     HIGH_RISK,
     MEDIUM_RISK,
     MONEY,
@@ -20,8 +21,11 @@ from tallyguard.contracts import (
     ORDER_CREATED,
     ORDER_DETAIL,
     ORDER_MISSING,
+    ORDER_MISSING_REASON,
     PAID_BEFORE_ORDER,
+    PAID_BEFORE_ORDER_REASON,
     PAID_MISMATCH,
+    PAID_MISMATCH_REASON,
     PAYMENT_SUCCESS,
     SEQUENCE_TYPE,
 )
@@ -147,7 +151,7 @@ def violations() -> Column:
         ORDER_MISSING,
         HIGH_RISK,
         CODE_ORDER_MISSING,
-        F.lit("成功支付已到达，但未收到对应订单创建事件"),
+        F.lit(ORDER_MISSING_REASON),
     )
     seconds = seconds_before(F.col("payment_ms"), F.col("create_ms"))
     early = violation(
@@ -155,7 +159,7 @@ def violations() -> Column:
         PAID_BEFORE_ORDER,
         HIGH_RISK,
         CODE_PAID_BEFORE_ORDER,
-        text_with("支付时间早于订单创建时间 {} 秒", seconds),
+        text_with(PAID_BEFORE_ORDER_REASON, seconds),
         seconds=seconds,
     )
     detail = violation(
@@ -163,7 +167,7 @@ def violations() -> Column:
         DETAIL_MISMATCH,
         MEDIUM_RISK,
         CODE_DETAIL_MISMATCH,
-        text_with("订单明细金额合计与订单金额不一致，差额为 {} 元", detail_difference()),
+        text_with(DETAIL_MISMATCH_REASON, detail_difference()),
         amount=detail_difference(),
     )
     paid = violation(
@@ -171,7 +175,7 @@ def violations() -> Column:
         PAID_MISMATCH,
         MEDIUM_RISK,
         CODE_PAID_MISMATCH,
-        text_with("支付金额与订单金额不一致，差额为 {} 元", paid_difference()),
+        text_with(PAID_MISMATCH_REASON, paid_difference()),
         amount=paid_difference(),
     )
     others = F.array_compact(

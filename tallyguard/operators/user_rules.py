@@ -9,12 +9,14 @@ from tallyguard.config import UserParams, WindowRule
 from tallyguard.contracts import (
     CODE_FAILURE,
     CODE_UNPAID,
+    FAILURE_REASON,
     FAILURE_TYPE,
     HIGH_RISK,
     ORDER_CREATED,
     ORDER_DETAIL,
     PAYMENT_FAILED,
     PAYMENT_SUCCESS,
+    UNPAID_REASON,
     UNPAID_TYPE,
     USER_ALERT_SCHEMA,
 )
@@ -128,9 +130,9 @@ def user_alerts(picked: DataFrame, params: UserParams) -> DataFrame:
             "alert_id": user_alert_id(end, F.col("user_id"), F.col("code")),
             "alert_type": F.when(unpaid, F.lit(UNPAID_TYPE)).otherwise(F.lit(FAILURE_TYPE)),
             "risk_level": F.lit(HIGH_RISK),
-            "risk_reason": F.when(
-                unpaid, reason(params.unpaid, "用户在 {} 秒内产生 {} 笔未支付订单，超过阈值 {} 笔")
-            ).otherwise(reason(params.failure, "用户在 {} 秒内连续支付失败 {} 次，达到阈值 {} 次")),
+            "risk_reason": F.when(unpaid, reason(params.unpaid, UNPAID_REASON)).otherwise(
+                reason(params.failure, FAILURE_REASON)
+            ),
             "stat_period_seconds": by_rule(params, lambda r: r.period_seconds),
             "unpaid_order_count": F.when(unpaid, F.col("count")),
             "failed_payment_count": F.when(~unpaid, F.col("count")),

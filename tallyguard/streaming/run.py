@@ -185,8 +185,11 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser.parse_args(arguments)
     config = JobConfig.from_env(options.job)
     spark = SparkSession.builder.appName(options.job).getOrCreate()
+    quarantine = None
     if options.quarantine:
-        start_quarantine(spark, options.job, config, options.quarantine, options.lines, options.available_now)
+        quarantine = start_quarantine(
+            spark, options.job, config, options.quarantine, options.lines, options.available_now
+        )
 
     rule_options = {"immutable_facts": True} if options.immutable_facts else {}
 
@@ -208,6 +211,8 @@ def main(arguments: list[str] | None = None) -> None:
         config.restarts,
         config.restart_delay_seconds,
     )
+    if quarantine:
+        quarantine.awaitTermination()
 
 
 if __name__ == "__main__":

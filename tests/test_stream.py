@@ -257,6 +257,25 @@ def test_immutable_facts_give_the_samples_alerts(spark):
     assert job.written() == 4
 
 
+def test_command_line(spark, monkeypatch):
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    monkeypatch.setenv("CHECKPOINT_ROOT", f"{folder}/checkpoints")
+    for topic, rows in (
+        (C.ORDER_TOPIC, SAMPLE_ORDERS),
+        (C.DETAIL_TOPIC, SAMPLE_DETAILS),
+        (C.PAYMENT_TOPIC, SAMPLE_PAYMENTS),
+    ):
+        os.makedirs(f"{folder}/in/{topic}")
+        with open(f"{folder}/in/{topic}/a.json", "w") as out:
+            out.write("\n".join(json.dumps(r) for r in rows) + "\nnonsense\n")
+    paths = ["--lines", f"{folder}/in", "--alerts", f"{folder}/alerts", "--quarantine", f"{folder}/bad"]
+    run.main([C.USER_JOB, *paths, "--console", "--available-now"])
+    found = current_alerts(spark, f"{folder}/alerts", C.USER_ALERT_SCHEMA).collect()
+    assert {r.alert_id for r in found} == set(GOLDEN_USER_IDS)
+    assert spark.read.text(f"{folder}/bad").count() == 2
+    assert os.path.isdir(f"{folder}/checkpoints/user-risk")
+
+
 def test_malformed_text_stops_a_strict_job(spark):
     job = Job(spark, C.ORDER_JOB)
     with open(f"{job.folder}/in/{C.ORDER_TOPIC}/bad.json", "w") as out:
