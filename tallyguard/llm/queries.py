@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import pii, secrets, simhash, spans, urls
-from tallyguard.llm.common import table
+from tallyguard.llm import near_dup, packing, pii, secrets, simhash, spans, urls
+from tallyguard.llm.common import stored, table
 
 URL_RULES = [
     urls.Rule(urls.ALLOW, "com", "/"),
@@ -28,10 +28,21 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(docs, model).select("doc_id", *spans.digest_columns("secrets", secrets.BASE_KINDS))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_near``, for ids divisible by 100: other fingerprints of the table within 3 bits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    prints = stored(simhash.compare_with_edit(docs), "simhash")
+    asked = F.col("doc_id") % 100 == 0
+    pairs = simhash.near(prints.filter(asked), prints).filter("query <> fingerprint")
+    counts = pairs.groupBy("query").agg(F.count(F.lit(1)).alias("n_near")).withColumnRenamed("query", "fingerprint")
+    queried = prints.filter(asked).join(counts, "fingerprint", "left").fillna(0, ["n_near"])
+    others = prints.filter(~F.coalesce(asked, F.lit(False))).withColumn("n_near", F.lit(None).cast("bigint"))
     own, new, after = (F.col(f"{x}fingerprint") for x in ("", "edited_", "next_"))
-    return simhash.compare_with_edit(docs).select(
+    return queried.unionByName(others).select(
         "doc_id",
         "n_chars",
         "edited_sha256",
@@ -39,9 +50,15 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         simhash.hex16(new).alias("edited_fingerprint"),
         simhash.likeness(own, new).alias("near_edited"),
         simhash.likeness(own, after).alias("near_next"),
+        "n_near",
     )
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex16(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     model = urls.train(urls.rule_labelled(pages, URL_RULES))
@@ -49,5 +66,12 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_secrets": op2_secrets, "op8_simhash": op8_simhash, "op10_urls": op10_urls}
+QUERIES = {
+    "op1_pii": op1_pii,
+    "op2_secrets": op2_secrets,
+    "op3_packing": op3_packing,
+    "op8_simhash": op8_simhash,
+    "op9_near_dup": op9_near_dup,
+    "op10_urls": op10_urls,
+}
 SQL: dict[str, str] = {}
