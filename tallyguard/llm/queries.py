@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import near_dup, packing, pii, secrets, simhash, spans, urls
+from tallyguard.llm import ann, bpe, near_dup, packing, pii, secrets, sharding, simhash, spans, toxicity, urls
 from tallyguard.llm.common import stored, table
 
 URL_RULES = [
@@ -32,6 +32,26 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).drop("text")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), count=8)
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n_near``, for ids divisible by 100: other fingerprints of the table within 3 bits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -70,6 +90,10 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
+    "op5_bpe": op5_bpe,
+    "op6_ann": op6_ann,
+    "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
     "op9_near_dup": op9_near_dup,
     "op10_urls": op10_urls,
