@@ -11,12 +11,13 @@ results; an empty table gives an empty table; columns called like a result are r
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import os
 import tempfile
 import unicodedata
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import public_tokenizers
@@ -30,7 +31,12 @@ from pyspark.sql import types as T
 from tallyguard.llm import lexicon
 
 # Words in the lexicon, and chunks or words that a worker remembers.
-LEXICON_WORDS, REMEMBERED = 1 << 16, 200_000
+LEXICON_WORDS, REMEMBERED = 1 << 17, 300_000
+# Characters of texts whose chunks are looked up at once.
+TOGETHER = 4_000_000
+# Longer words are merged by a heap.
+SHORT = 64
+NEVER = 1 << 62
 # Fixed values of the tokenizer file's format.
 WORD_END = "</w>"
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{L}\p{N}]+")
@@ -56,36 +62,67 @@ class Merger:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
-        self.ids = dict(file["model"]["vocab"])
+        ids = dict(file["model"]["vocab"])
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        self.ranks = {tuple(m): i for i, m in enumerate(file["model"]["merges"])}
-        self.tokens = {i: t for t, i in (*self.ids.items(), *self.special.items())}
-        self.letters = byte_letters()
+        self.tokens = {i: t for t, i in (*ids.items(), *self.special.items())}
         self.marks = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
+        letters = byte_letters()
+        self.inner, self.last = [ids[c] for c in letters], [ids[c + WORD_END] for c in letters]
+        # A pair of ids as one number, its rank, and the id that a rank makes.
+        self.base = len(self.tokens)
+        merges = [tuple(m) for m in file["model"]["merges"]]
+        self.ranks = {ids[a] * self.base + ids[b]: rank for rank, (a, b) in enumerate(merges)}
+        self.made = [ids[a + b] for a, b in merges]
 
     def word_ids(self, word: bytes) -> list[int]:
         """Exact merges: the pair with the best rank first, the leftmost of equal ones."""
-        parts = [self.letters[b] for b in word]
-        parts[-1] += WORD_END
-        ranks = self.ranks
-        while len(parts) > 1:
-            found = [ranks.get(pair) for pair in zip(parts, parts[1:])]
-            best = min((r for r in found if r is not None), default=None)
-            if best is None:
+        parts = [self.inner[b] for b in word]
+        parts[-1] = self.last[word[-1]]
+        if len(parts) > SHORT:
+            return self._merge_long(parts)
+        get, base = self.ranks.get, self.base
+        ranks = [get(a * base + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
                 break
-            merged, i = [], 0
-            while i < len(parts):
-                if i < len(found) and found[i] == best:
-                    merged.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    merged.append(parts[i])
-                    i += 1
-            parts = merged
-        return [self.ids[p] for p in parts]
+            i = ranks.index(best)
+            parts[i] = self.made[best]
+            del parts[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = get(parts[i - 1] * base + parts[i], NEVER)
+            if i < len(ranks):
+                ranks[i] = get(parts[i] * base + parts[i + 1], NEVER)
+        return parts
+
+    def _merge_long(self, parts: list[int]) -> list[int]:
+        """The same for long words: a heap of (rank, place) over a linked list of parts."""
+        get, base, n = self.ranks.get, self.base, len(parts)
+        after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
+
+        def rank(i: int) -> int:
+            return get(parts[i] * base + parts[after[i]], NEVER) if after[i] < n else NEVER
+
+        heap = [(r, i) for i in range(n - 1) if (r := rank(i)) != NEVER]
+        heapq.heapify(heap)
+        while heap:
+            best, i = heapq.heappop(heap)
+            if not alive[i] or rank(i) != best:
+                continue
+            gone = after[i]
+            parts[i], alive[gone], after[i] = self.made[best], False, after[gone]
+            if after[i] < n:
+                before[after[i]] = i
+            for j in (before[i], i):
+                if j >= 0 and (r := rank(j)) != NEVER:
+                    heapq.heappush(heap, (r, j))
+        return [part for part, kept in zip(parts, alive) if kept]
 
     def pieces(self, chunk: str) -> list[bytes | int]:
         """The words of a text without white space, as bytes; special tokens as their ids."""
+        plain = normal(chunk)
+        if plain.isalpha():
+            return [plain.encode()]
         found: list[bytes | int] = []
         at = 0
         for mark in self.marks.finditer(chunk):
@@ -122,11 +159,13 @@ class Encoder:
     def _form(self, ids: list[int]) -> tuple[str, int, str]:
         return " ".join(map(str, ids)), len(ids), " ".join([self.merger.tokens[i] for i in ids])
 
-    def _learn(self, fresh: list[str]) -> None:
+    def learn(self, every: set[str]) -> None:
+        """Remember the forms of all these chunks, and of no more than ``REMEMBERED`` others."""
         if len(self.words) > REMEMBERED:
             self.words.clear()
         if len(self.chunks) > REMEMBERED:
             self.chunks.clear()
+        fresh = [c for c in every if c not in self.chunks]
         pieces = [self.merger.pieces(c) for c in fresh]
         unknown = list({p for own in pieces for p in own if type(p) is bytes and p not in self.words})
         if unknown:
@@ -136,34 +175,35 @@ class Encoder:
                 self.words[word] = self._form(ids)
         for chunk, own in zip(fresh, pieces):
             parts = [self.words[p] if type(p) is bytes else self._form([p]) for p in own]
-            if len(parts) == 1:
-                self.chunks[chunk] = parts[0]
-            else:
-                self.chunks[chunk] = (
-                    " ".join([p[0] for p in parts]),
-                    sum(p[1] for p in parts),
-                    " ".join([p[2] for p in parts]),
-                )
-
-    def encode(self, text: str, at_once: int = 100_000) -> Iterator[tuple[str, int, str]]:
-        """Ids as text, their number and tokens as text, for a stretch of chunks at a time."""
-        every = chunks(text)
-        for start in range(0, len(every), at_once):
-            part = every[start : start + at_once]
-            fresh = [c for c in set(part) if c not in self.chunks]
-            if fresh:
-                self._learn(fresh)
-            forms = [self.chunks[c] for c in part]
-            yield " ".join([f[0] for f in forms]), sum([f[1] for f in forms]), " ".join([f[2] for f in forms])
-
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, and digests of the ids and of the decoded text."""
-        total, ids, decoded, between = 0, hashlib.sha256(), hashlib.sha256(), b""
-        for own, n, tokens in self.encode(text):
-            ids.update(between + own.encode())
-            decoded.update(between + tokens.encode())
-            total, between = total + n, b" "
-        return total, ids.hexdigest(), decoded.hexdigest()
+            self.chunks[chunk] = parts[0] if len(parts) == 1 else _joined(parts)
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[tuple[str, int, str]]:
+        """Per text: ids as text, their number, and tokens as text."""
+        waiting, length = [], 0
+        for text in texts:
+            waiting.append(chunks(text))
+            length += len(text)
+            if length > TOGETHER:
+                yield from self._forms(waiting)
+                waiting, length = [], 0
+        yield from self._forms(waiting)
+
+    def _forms(self, waiting: list[list[str]]) -> Iterator[tuple[str, int, str]]:
+        self.learn(set().union(*waiting))
+        known = self.chunks
+        for own in waiting:
+            yield _joined([known[c] for c in own])
+
+
+def _joined(forms: list[tuple[str, int, str]]) -> tuple[str, int, str]:
+    ids, numbers, tokens = zip(*forms) if forms else ((), (), ())
+    return " ".join(ids), sum(numbers), " ".join(tokens)
+
+
+def _digest(form: tuple[str, int, str]) -> tuple[int, str, str]:
+    """Number of ids, and digests of the ids and of the decoded text."""
+    ids, n, tokens = form
+    return n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(tokens.encode()).hexdigest()
 
 
 @lru_cache(maxsize=1)
@@ -194,15 +234,14 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, most: i
     return _mapped(docs, text, path, most, ["ids", "decoded"], [T.ArrayType(T.IntegerType()), T.StringType()], _whole)
 
 
-def _whole(encoder: Encoder, text: str) -> tuple[list[int], str]:
-    parts = list(encoder.encode(text))
-    return [int(i) for own, _, _ in parts for i in own.split()], " ".join([tokens for _, _, tokens in parts])
+def _whole(form: tuple[str, int, str]) -> tuple[list[int], str]:
+    return [int(i) for i in form[0].split()], form[2]
 
 
 def digests(docs: DataFrame, text: str = "text", path: str | None = None, most: int = LEXICON_WORDS) -> DataFrame:
     """``docs`` with n_tokens, ids_sha256 and decoded_sha256; ids themselves are not kept."""
     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    return _mapped(docs, text, path, most, names, [T.LongType(), T.StringType(), T.StringType()], Encoder.digest)
+    return _mapped(docs, text, path, most, names, [T.LongType(), T.StringType(), T.StringType()], _digest)
 
 
 def _mapped(docs: DataFrame, text: str, path: str | None, most: int, names: list[str], types: list, result) -> DataFrame:
@@ -217,7 +256,7 @@ def _mapped(docs: DataFrame, text: str, path: str | None, most: int, names: list
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, name)
         for batch in batches:
-            found = [result(encoder, t.as_py() or "") for t in batch.column(place)]
+            found = list(map(result, encoder.encode_all(t.as_py() or "" for t in batch.column(place))))
             columns = [pa.array([f[i] for f in found], t) for i, t in enumerate(arrow)]
             kept_columns = [batch.column(i) for i in kept]
             yield pa.RecordBatch.from_arrays([*kept_columns, *columns], names=schema.names)

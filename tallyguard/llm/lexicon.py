@@ -98,7 +98,7 @@ class Lexicon:
     """A compiled file, memory-mapped."""
 
     def __init__(self, path: str):
-        whole = np.memmap(path, np.int64, "r")
+        whole = np.asarray(np.memmap(path, np.int64, "r"))
         if whole[0] != MAGIC:
             raise ValueError(f"{path} is no lexicon")
         sizes, parts, at = whole[1:7], [], 7
