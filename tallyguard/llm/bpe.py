@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyguard.llm import lexicon
+from tallyguard.llm.common import stored
 
 # Words in the lexicon, and chunks or words that a worker remembers.
-LEXICON_WORDS, REMEMBERED = 1 << 17, 300_000
+LEXICON_WORDS, REMEMBERED = 1 << 17, 150_000
 # Characters of texts whose chunks are looked up at once.
-TOGETHER = 4_000_000
+TOGETHER = 1_500_000
 # Longer words are merged by a heap.
 SHORT = 64
 NEVER = 1 << 62
@@ -212,10 +213,22 @@ def _encoder(path: str, lexicon_name: str) -> Encoder:
 
 
 def frequent_words(docs: DataFrame, text: str, most: int) -> list[str]:
-    """The ``most`` frequent words of letters in all texts."""
+    """Up to ``most`` frequent words of letters in all texts.
+
+    Words are cut off by their counts' class (an eighth of a power of two), so no task sorts them
+    and the driver gets the chosen ones only.
+    """
     words = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{2,}"), F.lit(0))
     counts = docs.select(F.explode(words).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    return [r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(most).collect()]
+    classed = stored(counts.filter("n > 1").select("w", F.floor(F.log2("n") * 8).alias("c")), "words")
+    sizes = classed.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()
+    total, least = 0, None
+    for c, n in sorted((tuple(r) for r in sizes), reverse=True):
+        total += n
+        if total > most:
+            break
+        least = c
+    return [] if least is None else [r["w"] for r in classed.filter(F.col("c") >= least).select("w").collect()]
 
 
 def compile_lexicon(docs: DataFrame, text: str, path: str, most: int = LEXICON_WORDS) -> str:
