@@ -229,11 +229,11 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
 
     Rows that repeat a kept document's key and fingerprint are dropped too.
     """
-    print_name, key_name = free_name(docs, "_fp"), free_name(docs, "_key")
+    print_name, key_name, kept_name = (free_name(docs, n) for n in ("_fp", "_key", "_keeper"))
     found = classes(docs, key, text, size, radius)
     keepers = found.filter(F.col(key).eqNullSafe(F.col("component_id")) & (F.col("fingerprint") == F.col("keeper")))
-    keepers = keepers.select(F.col(key).alias(key_name), F.col("keeper").alias("_keeper")).distinct()
+    keepers = keepers.select(F.col(key).alias(key_name), F.col("keeper").alias(kept_name)).distinct()
     marked = with_fingerprint(docs, print_name, text, size)
-    chosen = marked[key].eqNullSafe(keepers[key_name]) & (marked[print_name] == keepers["_keeper"])
+    chosen = F.col(key).eqNullSafe(F.col(key_name)) & (F.col(print_name) == F.col(kept_name))
     kept = marked.join(stored(keepers, "keepers"), chosen, "left_semi").dropDuplicates([key, print_name])
     return kept.drop(print_name)

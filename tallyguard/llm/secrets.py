@@ -88,7 +88,8 @@ def model_of(counts: list[tuple[bool, str, int]]) -> Model:
         cells = [x for row in table[flag] for x in row]
         mean[flag] = sum(n * r for n, r in zip(cells, ratios)) / total if total else None
     sides = [x for x in mean.values() if x is not None]
-    return Model(tuple(ratios), sum(sides) / len(sides) if len(sides) == 2 else 1.0)
+    # Midway between the classes, and never where the ratio speaks for ordinary text.
+    return Model(tuple(ratios), max(sum(sides) / 2, 0.0) if len(sides) == 2 else 1.0)
 
 
 def ratio(value: Column, model: Model) -> Column:
