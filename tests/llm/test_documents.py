@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
-from llm_tables import SF_DIR
+from llm_tables import SF_DIR, empty, odd, texts  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

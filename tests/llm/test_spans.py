@@ -4,7 +4,7 @@ import hashlib
 import re
 
 import pytest
-from llm_tables import SF_DIR
+from llm_tables import SF_DIR, empty, odd, texts  # noqa: F401
 from pyspark.sql import functions as F
 
 from tallyguard.llm import pii, queries, secrets, spans, urls
