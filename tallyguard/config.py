@@ -90,6 +90,9 @@ class JobConfig:
     sink_retries: int = 3
     sink_connections: int = 16
     restarts: int = 3
+    # Bounds on one micro-batch, per topic; without them the first one holds all that is retained.
+    max_offsets: int | None = None
+    max_files: int | None = None
     restart_delay_seconds: int = 30
 
     @classmethod
@@ -112,5 +115,7 @@ class JobConfig:
             mysql_user=env.get("MYSQL_USER"),
             mysql_password=env.get("MYSQL_PASSWORD"),
             shuffle_partitions=int(env["STATE_PARTITIONS"]) if env.get("STATE_PARTITIONS") else None,
+            max_offsets=int(env["MAX_OFFSETS_PER_TRIGGER"]) if env.get("MAX_OFFSETS_PER_TRIGGER") else None,
+            max_files=int(env["MAX_FILES_PER_TRIGGER"]) if env.get("MAX_FILES_PER_TRIGGER") else None,
         )
         return cls(**{**values, **overrides})

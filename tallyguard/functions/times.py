@@ -29,12 +29,15 @@ def local_date(millis: Column) -> Column:
 
 def business_date(millis: Column) -> Column:
     """``yyyyMMdd`` in the business zone."""
-    return F.date_format(local_time(millis), "yyyyMMdd")
+    # A date has no zone, unlike the session time that a zone-less time would be turned into.
+    return F.date_format(local_date(millis), "yyyyMMdd")
 
 
 def time_text(millis: Column) -> Column:
     """The contract's text form, with milliseconds."""
-    return F.date_format(local_time(millis), "yyyy-MM-dd HH:mm:ss.SSS")
+    text = local_time(millis).cast("string")
+    # The cast leaves out a fraction's last zeros.
+    return F.concat(F.left(text, F.lit(19)), F.lit("."), F.rpad(F.substring(text, 21, 3), 3, "0"))
 
 
 def wall_clock_millis(wall: Column) -> Column:

@@ -44,9 +44,17 @@ def _execute(spark: SparkSession, config: JobConfig, statement: str) -> None:
         connection.close()
 
 
-def merge_batch(alerts: DataFrame, config: JobConfig, table: str) -> None:
-    """Replace the staging table by this batch and merge it; safe to repeat."""
-    staging = f"{table}_staging"
+def staging_table(table: str, run: str, batch_id: int) -> str:
+    """A name of its own per run and batch: a driver that is slow to die and its successor share none."""
+    return f"{table}_staging_{run.replace('-', '')[:12]}_{batch_id}"
+
+
+def merge_batch(
+    alerts: DataFrame, config: JobConfig, table: str, run: str = "only", batch_id: int = 0, execute=_execute
+) -> None:
+    """Write this batch to its staging table, merge it and drop the staging table; safe to repeat."""
+    staging, spark = staging_table(table, run, batch_id), alerts.sparkSession
     unique = alerts.dropDuplicates(["alert_id"])
     unique.write.format("jdbc").options(**staging_options(config, staging)).mode("overwrite").save()
-    _execute(alerts.sparkSession, config, merge_statement(table, staging, alerts.columns))
+    execute(spark, config, merge_statement(table, staging, alerts.columns))
+    execute(spark, config, f"DROP TABLE {staging}")

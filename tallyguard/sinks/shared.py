@@ -10,6 +10,14 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def job_folder(spark: SparkSession, job: str) -> str:
+    """The same folder at every start of a job, so that a restart finds the job's checkpoint."""
+    root = spark.conf.get(CHECKPOINT_DIR, None)
+    if not root:
+        raise ValueError(f"set CHECKPOINT_ROOT or {CHECKPOINT_DIR}: a job's progress needs a lasting folder")
+    return f"{root.rstrip('/')}/jobs/{job}"
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the session's ``spark.checkpoint.dir``.
 

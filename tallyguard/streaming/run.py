@@ -19,9 +19,9 @@ from tallyguard.config import JobConfig
 from tallyguard.functions.lines import order_line, user_line
 from tallyguard.operators.checks import broken_checks, order_alert_checks, user_alert_checks
 from tallyguard.operators.validate import quarantined
-from tallyguard.sinks.alert_log import append_batch, read_log
+from tallyguard.sinks.alert_log import append_batch, read_log, run_of
 from tallyguard.sinks.jdbc import merge_batch
-from tallyguard.sinks.shared import shared_folder
+from tallyguard.sinks.shared import job_folder
 from tallyguard.sources.files import stream_lines, topic_files
 from tallyguard.sources.kafka import stream_topic
 from tallyguard.streaming.intake import state_session, stream_events
@@ -77,19 +77,23 @@ def _print_rows(rows) -> None:
         print(row["line"])
 
 
-def batch_writer(job: str, config: JobConfig, alert_path: str | None, console: bool = False) -> BatchWriter:
+def batch_writer(
+    job: str, config: JobConfig, alert_path: str | None, checkpoint: str, console: bool = False
+) -> BatchWriter:
     """Write a batch to the alert log, if a path is given, else merge it into the job's table."""
     _, _, table, checks, line = JOBS[job]
 
     def write(alerts: DataFrame, batch_id: int) -> None:
-        rows = accepted(alerts, checks())
+        spark, rows = alerts.sparkSession, accepted(alerts, checks())
+        run = run_of(spark, checkpoint)
         if alert_path:
-            append_batch(rows, alert_path, batch_id)
+            append_batch(rows, alert_path, batch_id, job, run)
             if console:
-                written = read_log(alerts.sparkSession, alert_path, alerts.schema).filter(F.col("batch") == batch_id)
+                log = read_log(spark, alert_path, alerts.schema, job)
+                written = log.filter((F.col("run") == run) & (F.col("batch") == batch_id))
                 written.select(line().alias("line")).foreachPartition(_print_rows)
         else:
-            merge_batch(rows, config, table)
+            merge_batch(rows, config, table, run, batch_id)
 
     return with_retries(write, config.sink_retries)
 
@@ -100,9 +104,9 @@ def raw_streams(
     """The job's topics from Kafka, or from folders of JSON lines below ``lines_path``."""
     topics = JOBS[job][0]
     if lines_path is None:
-        return {topic: stream_topic(spark, config, topic) for topic in topics}
+        return {topic: stream_topic(spark, config, topic, config.max_offsets) for topic in topics}
     paths = topic_files(lines_path)
-    return {topic: stream_lines(spark, paths[topic], max_files) for topic in topics}
+    return {topic: stream_lines(spark, paths[topic], max_files or config.max_files) for topic in topics}
 
 
 def start_job(
@@ -121,12 +125,12 @@ def start_job(
     session = state_session(spark, config.shuffle_partitions)
     rules = JOBS[job][1]
     alerts = rules(stream_events(raw_streams(session, job, config, lines_path, max_files), strict), **rule_options)
-    checkpoint = config.checkpoint_dir or shared_folder(spark, job)
+    checkpoint = config.checkpoint_dir or job_folder(spark, job)
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{config.trigger_seconds} seconds"}
     return (
         alerts.writeStream.queryName(job)
         .outputMode("append")
-        .foreachBatch(batch_writer(job, config, alert_path, console))
+        .foreachBatch(batch_writer(job, config, alert_path, checkpoint, console))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -153,7 +157,7 @@ def start_quarantine(
         bad.writeStream.queryName(f"{job}-quarantine")
         .format("json")
         .option("path", path)
-        .option("checkpointLocation", checkpoint or shared_folder(spark, f"{job}-quarantine"))
+        .option("checkpointLocation", checkpoint or job_folder(spark, f"{job}-quarantine"))
         .trigger(**trigger)
         .start()
     )

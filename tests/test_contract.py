@@ -11,7 +11,10 @@ from tallyguard.config import JobConfig, UserParams, WindowRule
 from tallyguard.operators.validate import quarantined, valid_events
 from tallyguard.plans.order_alerts import judge_orders
 from tallyguard.plans.user_alerts import judge_users
-from tallyguard.sinks.jdbc import merge_statement, staging_options
+from tallyguard.functions.times import business_date, time_text
+from tallyguard.sinks.alert_log import append_batch, current_alerts, read_log
+from tallyguard.sinks.jdbc import merge_statement, staging_options, staging_table
+from tallyguard.sinks.shared import job_folder
 from tallyguard.sources.kafka import kafka_options
 
 T = DAY + "10:00:00"
@@ -140,3 +143,34 @@ def test_merge_statement():
         "INSERT INTO t (alert_id, a, b) SELECT alert_id, a, b FROM s "
         "ON DUPLICATE KEY UPDATE a = VALUES(a), b = VALUES(b)"
     )
+
+
+def test_time_text_in_a_gap_of_the_session_zone(spark):
+    assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    # 2026-03-08 02:30:00.120 in the business zone: New York has no such time that day.
+    row = spark.range(1).select(time_text(F.lit(1772908200120)).alias("t"), business_date(F.lit(1772908200120)).alias("d"))
+    assert tuple(row.first()) == ("2026-03-08 02:30:00.120", "20260308")
+
+
+def test_no_alert_of_another_job_or_run_is_lost(spark, tmp_path):
+    path = str(tmp_path)
+    rows = judge_orders(valid_events(lines(spark, [payment(1, 1, 1, 1.0, T)]), C.PAYMENT_TOPIC))
+    append_batch(rows, path, 0, C.ORDER_JOB, "a")
+    append_batch(rows.limit(0), path, 0, C.USER_JOB, "b")
+    append_batch(rows.withColumn("alert_id", F.lit("other")), path, 0, C.ORDER_JOB, "c")
+    append_batch(rows, path, 0, C.ORDER_JOB, "a")
+    assert read_log(spark, path, C.ORDER_ALERT_SCHEMA, C.ORDER_JOB).count() == 2
+    assert current_alerts(spark, path, C.ORDER_ALERT_SCHEMA, C.ORDER_JOB).count() == 2
+
+
+def test_job_folder_is_the_same_at_every_start(spark):
+    assert job_folder(spark, C.ORDER_JOB) == job_folder(spark, C.ORDER_JOB) != job_folder(spark, C.USER_JOB)
+
+
+def test_intake_bounds_from_the_environment():
+    config = JobConfig.from_env(C.ORDER_JOB, {"KAFKA_BOOTSTRAP_SERVERS": "a:1", "MAX_OFFSETS_PER_TRIGGER": "500"})
+    assert kafka_options(config, C.ORDER_TOPIC, config.max_offsets)["maxOffsetsPerTrigger"] == "500"
+
+
+def test_staging_tables_are_not_shared():
+    assert len({staging_table("t", r, b) for r in ("a-1", "b-2") for b in (1, 2)}) == 4
