@@ -31,8 +31,9 @@ from pyspark.sql import types as T
 from tallyguard.llm import lexicon
 from tallyguard.llm.common import stored
 
-# Words in the lexicon, and chunks or words that a worker remembers.
-LEXICON_WORDS, REMEMBERED = 1 << 17, 150_000
+LEXICON_WORDS = 1 << 17
+# A worker forgets all chunks and words once it holds more chunks, or chunks of more characters.
+REMEMBERED, REMEMBERED_LENGTH = 300_000, 1 << 23
 # Characters of texts whose chunks are looked up at once.
 TOGETHER = 1_500_000
 # Longer words are merged by a heap.
@@ -156,17 +157,19 @@ class Encoder:
         # Per word and chunk: ids as text, number of ids, tokens as text.
         self.words: dict[bytes, tuple[str, int, str]] = {}
         self.chunks: dict[str, tuple[str, int, str]] = {}
+        self.length = 0
 
     def _form(self, ids: list[int]) -> tuple[str, int, str]:
         return " ".join(map(str, ids)), len(ids), " ".join([self.merger.tokens[i] for i in ids])
 
     def learn(self, every: set[str]) -> None:
-        """Remember the forms of all these chunks, and of no more than ``REMEMBERED`` others."""
-        if len(self.words) > REMEMBERED:
+        """Remember the forms of all these chunks, and of a bounded number and length of others."""
+        if len(self.chunks) > REMEMBERED or self.length > REMEMBERED_LENGTH:
             self.words.clear()
-        if len(self.chunks) > REMEMBERED:
             self.chunks.clear()
+            self.length = 0
         fresh = [c for c in every if c not in self.chunks]
+        self.length += sum(map(len, fresh))
         pieces = [self.merger.pieces(c) for c in fresh]
         unknown = list({p for own in pieces for p in own if type(p) is bytes and p not in self.words})
         if unknown:
