@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from tallyguard import contracts as C
 from tallyguard.config import UserParams
 
+REASON_LENGTH = 255
+
 
 def _null_or(col: str, condition: Column) -> Column:
     return F.col(col).isNull() | condition
 
 
-def _dates() -> dict[str, Column]:
+def _common() -> dict[str, Column]:
     return {
+        "risk_reason": F.col("risk_reason").isNotNull() & (F.char_length("risk_reason") <= REASON_LENGTH),
         "alert_date": F.col("alert_date") == F.col("alert_time").cast("date"),
         "update_time": F.col("update_time") >= F.col("alert_time"),
     }
@@ -32,7 +35,7 @@ def order_alert_checks() -> dict[str, Column]:
         "detail_count": F.col("detail_count") >= 0,
         "difference_amount": _null_or("difference_amount", F.col("difference_amount") >= 0),
         "time_difference": _null_or("time_difference_seconds", F.col("time_difference_seconds") >= 0),
-        **_dates(),
+        **_common(),
     }
 
 
@@ -50,7 +53,7 @@ def user_alert_checks(params: UserParams = UserParams()) -> dict[str, Column]:
             (F.col("alert_type") == C.UNPAID_TYPE) & unpaid.isNotNull() & (unpaid > limit) & failed.isNull()
         )
         | ((F.col("alert_type") == C.FAILURE_TYPE) & unpaid.isNull() & failed.isNotNull() & (failed >= limit)),
-        **_dates(),
+        **_common(),
     }
 
 

@@ -113,7 +113,7 @@ SELECT alert_id, alert_type, risk_item, risk_level, risk_reason, order_id, user_
        {double('order_amount')} AS order_amount, {double('detail_amount')} AS detail_amount,
        {double('payment_amount')} AS payment_amount, {double('difference_amount')} AS difference_amount,
        time_difference_seconds, detail_count, CAST(alert_time AS VARCHAR) AS alert_time,
-       CAST(alert_date AS VARCHAR) AS alert_date
+       CAST(alert_date AS VARCHAR) AS alert_date, true AS update_time_reached
 FROM alerts"""
 ORDER_ALERTS = f"WITH {ORDER_CTES},{ALERTS}{ORDER_COLUMNS}"
 # Two lines per order instead of the table's, seven cents too much in every fourth order.
@@ -173,7 +173,7 @@ def user_alerts(condition: str = "true") -> str:
     return f"""{USER_WITH}
 SELECT alert_id, alert_type, risk_level, risk_reason, user_id, stat_period_seconds, unpaid_order_count,
        failed_payment_count, threshold_count, CAST(alert_time AS VARCHAR) AS alert_time,
-       CAST(alert_date AS VARCHAR) AS alert_date
+       CAST(alert_date AS VARCHAR) AS alert_date, true AS update_time_reached
 FROM ua WHERE {condition}"""
 
 
@@ -289,12 +289,18 @@ FROM events""",
     "o6_order_alert_lines": f"WITH {ORDER_CTES},{ALERTS} SELECT alert_id, {line(ORDER_METRIC)} AS line FROM alerts",
     "o7_user_alert_lines": f"{USER_WITH} SELECT alert_id, {line(USER_METRIC)} AS line FROM ua",
     "o8_order_alert_checks": f"""WITH {ORDER_CTES},{ALERTS}
-SELECT alert_id, CASE WHEN order_id % 7 = 1 THEN 'alert_type' WHEN order_id % 7 = 2 THEN 'detail_count'
-         WHEN order_id % 7 = 3 AND difference_amount IS NOT NULL THEN 'difference_amount'
-         WHEN order_id % 7 = 4 THEN 'alert_date' ELSE '' END AS broken FROM alerts""",
+SELECT CASE order_id % 13 WHEN 5 THEN lower(alert_id) ELSE alert_id END AS alert_id,
+       CASE order_id % 13 WHEN 1 THEN 'alert_type' WHEN 2 THEN 'detail_count'
+         WHEN 3 THEN CASE WHEN difference_amount IS NULL THEN '' ELSE 'difference_amount' END
+         WHEN 4 THEN CASE WHEN time_difference_seconds IS NULL THEN '' ELSE 'time_difference' END
+         WHEN 5 THEN 'alert_id' WHEN 6 THEN 'risk_level' WHEN 7 THEN 'risk_item' WHEN 8 THEN 'risk_reason'
+         WHEN 9 THEN 'risk_reason' WHEN 10 THEN 'alert_date' WHEN 11 THEN 'update_time' ELSE '' END AS broken
+FROM alerts""",
     "o9_user_alert_checks": f"""{USER_WITH}
-SELECT CASE WHEN user_id % 5 = 1 THEN lower(alert_id) ELSE alert_id END AS alert_id,
-       CASE user_id % 5 WHEN 1 THEN 'alert_id' WHEN 2 THEN 'stat_period' WHEN 3 THEN 'risk_count' ELSE '' END AS broken
+SELECT CASE user_id % 11 WHEN 5 THEN lower(alert_id) ELSE alert_id END AS alert_id,
+       CASE user_id % 11 WHEN 1 THEN 'alert_type,risk_count' WHEN 2 THEN 'stat_period' WHEN 3 THEN 'risk_count'
+         WHEN 4 THEN 'threshold' WHEN 5 THEN 'alert_id' WHEN 6 THEN 'risk_level' WHEN 7 THEN 'risk_reason'
+         WHEN 8 THEN 'risk_reason' WHEN 9 THEN 'alert_date' WHEN 10 THEN 'update_time' ELSE '' END AS broken
 FROM ua""",
     "o10_alerts_by_date": f"""WITH {ORDER_CTES},{ALERTS}
 SELECT CAST(alert_date AS VARCHAR) AS alert_date, CAST(alert_time AS VARCHAR) AS alert_time, alert_id, risk_item

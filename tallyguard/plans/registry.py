@@ -28,10 +28,12 @@ BREAKAGE = 13
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Plain column types for a comparison across engines; clock times of writing are left out."""
+    """Plain column types for a comparison across engines; of the clock time of writing only
+    whether it is not before the alert."""
     columns = []
     for f in df.schema.fields:
         if f.name == "update_time":
+            columns.append((F.col("update_time") >= F.col("alert_time")).alias("update_time_reached"))
             continue
         col = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
@@ -308,31 +310,57 @@ def o7_user_alert_lines(spark, sf_dir):
     return _user_alerts(spark, sf_dir).select("alert_id", lines.user_line().alias("line"))
 
 
+_DAMAGED_TEXT_AND_TIMES = [
+    ("risk_reason", lambda: F.lit(None)),
+    ("risk_reason", lambda: F.rpad("risk_reason", 256, "?")),
+    ("alert_date", lambda: F.date_add("alert_date", 1)),
+    ("update_time", lambda: F.expr("alert_time - INTERVAL 1 SECOND")),
+]
+
+
+def _damaged(alerts: DataFrame, case: Column, damage: list[tuple[str, Callable[[], Column]]]) -> DataFrame:
+    """Alerts of which those of case ``i`` (from 1) have the column of the i-th damage replaced."""
+    columns: dict[str, Column] = {}
+    for number, (name, value) in enumerate(damage, 1):
+        whole = columns.get(name, F.col(name))
+        columns[name] = F.when(case == number, value()).otherwise(whole)
+    return alerts.withColumns(columns)
+
+
 def o8_order_alert_checks(spark, sf_dir):
     """Alerts after damage by order id, with the constraints they no longer meet."""
-    key = F.col("order_id")
-    damaged = r5_order_alerts(spark, sf_dir).withColumns(
-        {
-            "alert_type": F.when(key % 7 == 1, F.lit("?")).otherwise(F.col("alert_type")),
-            "detail_count": F.when(key % 7 == 2, F.lit(-1)).otherwise(F.col("detail_count")),
-            "difference_amount": F.when(key % 7 == 3, -F.col("difference_amount")).otherwise(
-                F.col("difference_amount")
-            ),
-            "alert_date": F.when(key % 7 == 4, F.date_add("alert_date", 1)).otherwise(F.col("alert_date")),
-        }
+    damaged = _damaged(
+        r5_order_alerts(spark, sf_dir),
+        F.col("order_id") % 13,
+        [
+            ("alert_type", lambda: F.lit("?")),
+            ("detail_count", lambda: F.lit(-1)),
+            ("difference_amount", lambda: -F.col("difference_amount")),
+            ("time_difference_seconds", lambda: -F.col("time_difference_seconds")),
+            ("alert_id", lambda: F.lower("alert_id")),
+            ("risk_level", lambda: F.lit("?")),
+            ("risk_item", lambda: F.lit("?")),
+            *_DAMAGED_TEXT_AND_TIMES,
+        ],
     )
     found = checks.with_broken_checks(damaged, checks.order_alert_checks())
     return found.select("alert_id", F.array_join("broken", ",").alias("broken"))
 
 
 def o9_user_alert_checks(spark, sf_dir):
-    key = F.col("user_id")
-    damaged = _user_alerts(spark, sf_dir).withColumns(
-        {
-            "alert_id": F.when(key % 5 == 1, F.lower("alert_id")).otherwise(F.col("alert_id")),
-            "stat_period_seconds": F.when(key % 5 == 2, F.lit(7)).otherwise(F.col("stat_period_seconds")),
-            "threshold_count": F.when(key % 5 == 3, F.lit(99)).otherwise(F.col("threshold_count")),
-        }
+    """The same for user alerts; an unknown type also leaves its count without a rule."""
+    damaged = _damaged(
+        _user_alerts(spark, sf_dir),
+        F.col("user_id") % 11,
+        [
+            ("alert_type", lambda: F.lit("?")),
+            ("stat_period_seconds", lambda: F.lit(7)),
+            ("threshold_count", lambda: F.lit(99)),
+            ("threshold_count", lambda: F.lit(0)),
+            ("alert_id", lambda: F.lower("alert_id")),
+            ("risk_level", lambda: F.lit("?")),
+            *_DAMAGED_TEXT_AND_TIMES,
+        ],
     )
     found = checks.with_broken_checks(damaged, checks.user_alert_checks(ACTIVITY_PARAMS))
     return found.select("alert_id", F.array_join("broken", ",").alias("broken"))
