@@ -123,11 +123,17 @@ tot AS (SELECT o_orderkey AS order_id, CAST(2 AS BIGINT) AS detail_count,
         FROM orders)"""
 SPLIT_ALERTS = f"WITH {','.join([ORDERS, PAYMENTS, SPLIT_TOTALS, SNAPSHOTS])},{ALERTS}{ORDER_COLUMNS}"
 
-# User rules: 7 day windows sliding by a day (wait 12 h, more than 2), 24 h windows by 4 h (3 or more).
-UNPAID_SIZE, UNPAID_SLIDE, UNPAID_WAIT = 7 * DAY_MS, DAY_MS, 12 * HOUR_MS
-FAIL_SIZE, FAIL_SLIDE = DAY_MS, 4 * HOUR_MS
-USER_FACTS = f"""
-act AS (SELECT event_id, user_id, event_type, {ms('ts')} AS time_ms, {ms('ts')} // {DAY_MS} AS day FROM events),
+# User rules, each as (size, slide, wait, threshold, pause); unpaid orders must exceed their threshold.
+SPARSE_RULES = (7 * DAY_MS, DAY_MS, 12 * HOUR_MS, 2, 7 * DAY_MS), (DAY_MS, 4 * HOUR_MS, 0, 3, DAY_MS)
+DEFAULT_RULES = (60_000, 10_000, 120_000, 5, 180_000), (180_000, 10_000, 0, 3, 180_000)
+FAIL_SLIDE = SPARSE_RULES[1][1]
+# A day in 8.64 seconds.
+QUICK = f"({ms('ts')} // 10000 + 1700000000000)"
+
+
+def user_facts(time: str = ms("ts")) -> str:
+    return f"""
+act AS (SELECT event_id, user_id, event_type, {time} AS time_ms, {ms('ts')} // {DAY_MS} AS day FROM events),
 ord AS (SELECT user_id, user_id * 100000 + day AS order_id, time_ms AS create_ms
         FROM act WHERE event_type = 'click'
         QUALIFY row_number() OVER (PARTITION BY user_id, order_id
@@ -135,17 +141,25 @@ ord AS (SELECT user_id, user_id * 100000 + day AS order_id, time_ms AS create_ms
 paid AS (SELECT user_id, user_id * 100000 + day - 1 AS order_id, min(time_ms) AS paid_ms
          FROM act WHERE event_type = 'purchase' GROUP BY ALL),
 ordp AS (SELECT ord.*, paid.paid_ms FROM ord LEFT JOIN paid USING (user_id, order_id))"""
-USER_COUNTS = f"""
-uw AS (SELECT user_id, paid_ms, (create_ms // {UNPAID_SLIDE} + 1 + unnest(range(7))) * {UNPAID_SLIDE} AS window_end_ms
-       FROM ordp),
+
+
+def user_counts(rules: tuple = SPARSE_RULES) -> str:
+    (u_size, u_slide, u_wait, _, _), (f_size, f_slide, _, _, _) = rules
+    return f"""
+uw AS (SELECT user_id, paid_ms, (create_ms // {u_slide} + 1 + unnest(range({u_size // u_slide}))) * {u_slide}
+         AS window_end_ms FROM ordp),
 uc AS (SELECT user_id, window_end_ms, count(*) AS "count" FROM uw
-       WHERE paid_ms IS NULL OR paid_ms > window_end_ms + {UNPAID_WAIT} GROUP BY ALL),
-fw AS (SELECT user_id, (time_ms // {FAIL_SLIDE} + 1 + unnest(range(6))) * {FAIL_SLIDE} AS window_end_ms
+       WHERE paid_ms IS NULL OR paid_ms > window_end_ms + {u_wait} GROUP BY ALL),
+fw AS (SELECT user_id, (time_ms // {f_slide} + 1 + unnest(range({f_size // f_slide}))) * {f_slide} AS window_end_ms
        FROM act WHERE event_type = 'error'),
 fc AS (SELECT user_id, window_end_ms, count(*) AS "count" FROM fw GROUP BY ALL)"""
-PICKS = f"""
-cand AS (SELECT user_id, '01' AS code, window_end_ms, "count", {7 * DAY_MS} AS pause FROM uc WHERE "count" > 2
-         UNION ALL SELECT user_id, '02', window_end_ms, "count", {DAY_MS} FROM fc WHERE "count" >= 3),
+
+
+def picks(rules: tuple = SPARSE_RULES) -> str:
+    (_, _, _, above, u_pause), (_, _, _, least, f_pause) = rules
+    return f"""
+cand AS (SELECT user_id, '01' AS code, window_end_ms, "count", {u_pause} AS pause FROM uc WHERE "count" > {above}
+         UNION ALL SELECT user_id, '02', window_end_ms, "count", {f_pause} FROM fc WHERE "count" >= {least}),
 nxt AS (SELECT a.user_id, a.code, a.window_end_ms, min(b.window_end_ms) AS next_ms
         FROM cand a JOIN cand b ON a.user_id = b.user_id AND a.code = b.code
                                AND b.window_end_ms >= a.window_end_ms + a.pause GROUP BY ALL),
@@ -154,23 +168,35 @@ chain AS (SELECT user_id, code, min(window_end_ms) AS window_end_ms FROM cand GR
           SELECT chain.user_id, chain.code, nxt.next_ms FROM chain JOIN nxt
             ON chain.user_id = nxt.user_id AND chain.code = nxt.code AND chain.window_end_ms = nxt.window_end_ms),
 picks AS (SELECT cand.* FROM cand JOIN chain USING (user_id, code, window_end_ms))"""
-USER_CTES = ",".join([USER_FACTS, USER_COUNTS, PICKS])
-USER_ROWS = f"""
+
+
+def user_rows(rules: tuple = SPARSE_RULES) -> str:
+    (u_size, _, _, above, _), (f_size, _, _, least, _) = rules
+    return f"""
 ua AS (SELECT 'H' || {day_text('window_end_ms')} || {stable("user_id || ':' || window_end_ms || ':' || code")} AS alert_id,
        CASE code WHEN '01' THEN '高频未支付' ELSE '连续支付失败' END AS alert_type, '高风险' AS risk_level,
-       CASE code WHEN '01' THEN '用户在 604800 秒内产生 ' || "count" || ' 笔未支付订单，超过阈值 2 笔'
-                 ELSE '用户在 86400 秒内连续支付失败 ' || "count" || ' 次，达到阈值 3 次' END AS risk_reason,
-       user_id, CASE code WHEN '01' THEN 604800 ELSE 86400 END::BIGINT AS stat_period_seconds,
+       CASE code WHEN '01' THEN '用户在 {u_size // 1000} 秒内产生 ' || "count" || ' 笔未支付订单，超过阈值 {above} 笔'
+                 ELSE '用户在 {f_size // 1000} 秒内连续支付失败 ' || "count" || ' 次，达到阈值 {least} 次' END AS risk_reason,
+       user_id, CASE code WHEN '01' THEN {u_size // 1000} ELSE {f_size // 1000} END::BIGINT AS stat_period_seconds,
        CASE code WHEN '01' THEN "count" END AS unpaid_order_count,
        CASE code WHEN '02' THEN "count" END AS failed_payment_count,
-       CASE code WHEN '01' THEN 2 ELSE 3 END::BIGINT AS threshold_count,
+       CASE code WHEN '01' THEN {above} ELSE {least} END::BIGINT AS threshold_count,
        {local('window_end_ms')} AS alert_time, CAST({local('window_end_ms')} AS DATE) AS alert_date
 FROM picks)"""
-USER_WITH = f"WITH RECURSIVE {USER_CTES},{USER_ROWS}"
 
 
-def user_alerts(condition: str = "true") -> str:
-    return f"""{USER_WITH}
+def user_ctes(time: str, rules: tuple) -> str:
+    return ",".join([user_facts(time), user_counts(rules), picks(rules)])
+
+
+USER_FACTS, USER_COUNTS = user_facts(), user_counts()
+USER_CTES = user_ctes(ms("ts"), SPARSE_RULES)
+USER_WITH = f"WITH RECURSIVE {USER_CTES},{user_rows()}"
+DEFAULT_WITH = f"WITH RECURSIVE {user_ctes(QUICK, DEFAULT_RULES)},{user_rows(DEFAULT_RULES)}"
+
+
+def user_alerts(condition: str = "true", ctes: str = USER_WITH) -> str:
+    return f"""{ctes}
 SELECT alert_id, alert_type, risk_level, risk_reason, user_id, stat_period_seconds, unpaid_order_count,
        failed_payment_count, threshold_count, CAST(alert_time AS VARCHAR) AS alert_time,
        CAST(alert_date AS VARCHAR) AS alert_date, true AS update_time_reached
@@ -283,6 +309,8 @@ FROM events""",
     "u3_failure_counts": f"WITH {USER_FACTS},{USER_COUNTS} SELECT * FROM fc",
     "u4_unpaid_alerts": user_alerts("alert_type = '高频未支付'"),
     "u5_failure_alerts": user_alerts("alert_type = '连续支付失败'"),
+    "u4_unpaid_alerts_default": user_alerts("alert_type = '高频未支付'", DEFAULT_WITH),
+    "u5_failure_alerts_default": user_alerts("alert_type = '连续支付失败'", DEFAULT_WITH),
     "u6_cooldown": f'WITH RECURSIVE {USER_CTES} SELECT user_id, code, window_end_ms, "count" FROM picks',
     "u8_paid_orders": f"WITH {USER_FACTS} SELECT user_id, order_id, create_ms, paid_ms FROM ordp",
     "u11_user_alerts": user_alerts(),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyguard import contracts as C
-from tallyguard.config import DAY, HOUR
+from tallyguard.config import DAY, HOUR, UserParams
 from tallyguard.functions import ids, lines, times
 from tallyguard.functions.amounts import amount_difference, money, seconds_before
 from tallyguard.operators import checks, lookups, order_rules, user_rules, validate, windows
@@ -289,6 +289,16 @@ def _alerts_of_type(alert_type: str) -> Query:
     return lambda spark, sf_dir: _user_alerts(spark, sf_dir).filter(F.col("alert_type") == alert_type)
 
 
+def _default_alerts_of_type(alert_type: str) -> Query:
+    """The rules at the contract's sizes, over behaviour in quick motion."""
+
+    def query(spark, sf_dir):
+        alerts = judge_users(tables.quick_activity_events(spark, sf_dir), UserParams())
+        return alerts.filter(F.col("alert_type") == alert_type)
+
+    return query
+
+
 def u6_cooldown(spark, sf_dir):
     runs = user_rules.window_counts(tables.activity_events(spark, sf_dir), ACTIVITY_PARAMS)
     picked = user_rules.cooled_candidates(runs, ACTIVITY_PARAMS)
@@ -449,6 +459,8 @@ QUERIES: dict[str, Query] = {
     "u3_failure_counts": _counts(C.CODE_FAILURE),
     "u4_unpaid_alerts": _alerts_of_type(C.UNPAID_TYPE),
     "u5_failure_alerts": _alerts_of_type(C.FAILURE_TYPE),
+    "u4_unpaid_alerts_default": _default_alerts_of_type(C.UNPAID_TYPE),
+    "u5_failure_alerts_default": _default_alerts_of_type(C.FAILURE_TYPE),
     "u6_cooldown": u6_cooldown,
     "u8_paid_orders": u8_paid_orders,
     "u11_user_alerts": _user_alerts,
