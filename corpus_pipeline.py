@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyguard.llm import near_dup, packing, pii, toxicity
-from tallyguard.llm.common import stored, table
+from tallyguard.llm.common import shipping, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,10 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("near_dup", one_of_each), ("pii", redact), ("packing", pack)]
+STAGES = [
+    (name, shipping(stage))
+    for name, stage in [("toxicity", drop_toxic), ("near_dup", one_of_each), ("pii", redact), ("packing", pack)]
+]
 
 # Neither the regression nor the fingerprints can be expressed in DuckDB's SQL.
 ORACLE_SQL = None

@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
+import tempfile
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import tallyguard
 from tallyguard.sinks.shared import shared_folder
 
+# Ids of the applications that have this package.
+_SHIPPED: set[str] = set()
+
 # A key with at least one row in so many is joined by broadcast; there are never more such keys.
 HEAVY_SHARE = 1000
 # Parts in which rows of one group are numbered.
@@ -18,6 +28,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let executors, new ones too, import this package: Spark hands them a zip of it, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    source = os.path.dirname(os.path.abspath(tallyguard.__file__))
+    with tempfile.TemporaryDirectory() as folder:
+        tree = os.path.join(folder, "tree")
+        shutil.copytree(source, os.path.join(tree, "tallyguard"), ignore=shutil.ignore_patterns("__pycache__"))
+        # Kept until the application ends, since later executors fetch it as well.
+        kept = tempfile.mkdtemp(prefix="tallyguard-")
+        context.addPyFile(shutil.make_archive(os.path.join(kept, "tallyguard"), "zip", tree))
+    _SHIPPED.add(context.applicationId)
+
+
+def shipping(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query that ships the package before it runs."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        ship_package(spark)
+        return query(spark, *rest)
+
+    return run
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the folder that all executors share, and read from there.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.llm import ann, bpe, near_dup, packing, pii, secrets, sharding, simhash, spans, toxicity, urls
-from tallyguard.llm.common import stored, table
+from tallyguard.llm.common import shipping, stored, table
 
 URL_RULES = [
     urls.Rule(urls.ALLOW, "com", "/"),
@@ -98,4 +98,5 @@ QUERIES = {
     "op9_near_dup": op9_near_dup,
     "op10_urls": op10_urls,
 }
+QUERIES = {name: shipping(query) for name, query in QUERIES.items()}
 SQL: dict[str, str] = {}

@@ -56,11 +56,13 @@ def train(strings: DataFrame) -> Model:
     Counting runs over all strings; what reaches the driver is a count per class and pair of
     characters of the alphabet, two times 69 squared at most.
     """
-    begun = strings.select("secret", F.concat(F.lit("^"), "value").alias("value"))
-    places = F.sequence(F.lit(1), F.length("value") - 1)
-    pairs = begun.filter(F.length("value") > 1).select(
-        "secret", F.explode(F.transform(places, lambda i: F.substring("value", i, F.lit(2)))).alias("pair")
+    # Split, since taking the n-th character of a long string walks to it.
+    begun = strings.select("secret", F.split(F.concat(F.lit("^"), "value"), "").alias("chars"))
+    following = F.slice("chars", F.lit(2), F.size("chars") - 1)
+    pairs = begun.filter(F.size("chars") > 1).select(
+        "secret", F.explode(F.zip_with("chars", following, lambda a, b: F.concat(a, b))).alias("pair")
     )
+    pairs = pairs.filter(F.col("pair").isNotNull())
     # Pairs outside the alphabet are dropped after counting: there are few distinct ones.
     counts = pairs.groupBy("secret", "pair").agg(F.count(F.lit(1)).alias("n"))
     inside = counts.filter(F.col("pair").rlike(r"^[\^A-Za-z0-9+/_.=-][A-Za-z0-9+/_.=-]$"))
