@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyguard.llm import ann, bpe, near_dup, packing, pii, secrets, sharding, simhash, spans, toxicity, urls
 from tallyguard.llm.common import shipping, stored, table
+from tallyguard.llm.oracles import SQL  # noqa: F401
 
 URL_RULES = [
     urls.Rule(urls.ALLOW, "com", "/"),
@@ -99,4 +100,3 @@ QUERIES = {
     "op10_urls": op10_urls,
 }
 QUERIES = {name: shipping(query) for name, query in QUERIES.items()}
-SQL: dict[str, str] = {}

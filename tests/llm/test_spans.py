@@ -158,3 +158,39 @@ def test_url_query_is_whole(spark):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     got = queries.QUERIES["op10_urls"](spark, SF_DIR)
     assert got.count() == pages.count() and got.filter("verdict not in ('allow', 'block')").count() == 0
+
+
+PLANTED = [
+    "bank GB82 WEST 1234 5698 7654 32 or DE89370400440532013000, xDE89370400440532013000 GB82 WEST 1234 5698 7654 33",
+    "ssn 123-45-6789 078-05-1120,ssn:000-12-3456 taxpayer 666-45-6789 -123-45-6789 1123-45-6789 ssn 123-45-6789-1",
+    "no words near 123-45-6789" + " far" * 20 + " ssn",
+    "😀 ssn😀 219-09-9999 and a@b.co 4111 1111 1111 1111 10.0.0.256 10.0.0.255",
+    "",
+    None,
+]
+
+
+def test_personal_data_equal_sql(spark, tmp_path):
+    import duckdb
+
+    from tallyguard.llm.oracles import SQL
+
+    rows = [(i, t) for i, t in enumerate([*PLANTED, *CASES, *PLANTED])] + [(None, PLANTED[0])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    for folder in (str(tmp_path), SF_DIR):
+        pattern = "documents.parquet/*.parquet" if folder == str(tmp_path) else "documents.parquet"
+        con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{folder}/{pattern}'")
+        found = queries.op1_pii(spark, folder)
+        told = con.execute(SQL["op1_pii"])
+        assert found.columns == [d[0] for d in told.description]
+        mine = sorted(map(tuple, found.collect()), key=repr)
+        assert mine == sorted(told.fetchall(), key=repr)
+        assert any("iban" in r[-1] for r in mine) or folder == SF_DIR
+
+
+def test_pairs_of_a_long_string_are_counted(spark):
+    strings = spark.createDataFrame([("ab" * 200_000, True), ("a", False), ("", False)], "value string, secret boolean")
+    model = secrets.train(strings)
+    expected = secrets.model_of([(True, "^a", 1), (True, "ab", 200_000), (True, "ba", 199_999), (False, "^a", 1)])
+    assert model == expected
