@@ -223,6 +223,10 @@ ORACLES: dict[str, str] = {
     "s_order_json": f"""WITH {ORDERS}
 SELECT event_id, 'ORDER_CREATED' AS event_type, create_ms AS event_time_ms, {day_text('create_ms')} AS business_date,
        order_id, user_id, shop_id, {double('order_amount')} AS order_amount, create_ms AS create_time_ms FROM o""",
+    "v_money_rounding": """SELECT o_orderkey AS order_id, CAST(CAST(round(CAST(o_orderkey || '.' ||
+       lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') || CASE o_orderkey % 3 WHEN 0 THEN '4999999999' WHEN 1 THEN '5000000000'
+       ELSE '4999999995' END AS DECIMAL(38, 12)), 2) AS DECIMAL(20, 2)) AS VARCHAR) AS order_amount
+FROM orders WHERE o_orderkey % 11 <> 0""",
     "s_detail_json": f"""WITH {DETAILS}
 SELECT event_id, 'ORDER_DETAIL' AS event_type, time_ms AS event_time_ms, {day_text('time_ms')} AS business_date,
        order_id, time_ms AS create_time_ms, order_detail_id, l_partkey AS sku_id, sku_num,

@@ -87,6 +87,17 @@ def damaged_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def v_money_rounding(spark, sf_dir):
+    """Order texts whose amounts have twelve digits behind the point, many just off half a cent."""
+    texts = topic_json(tables.order_events(spark, sf_dir), C.ORDER_TOPIC)
+    order_id = F.regexp_extract("value", '"order_id":([0-9]+)', 1).cast("bigint")
+    rest = F.when(order_id % 3 == 0, "4999999999").when(order_id % 3 == 1, "5000000000").otherwise("4999999995")
+    amount = F.concat(F.lit('"order_amount":'), order_id, F.lit("."), F.lpad((order_id % 100).cast("string"), 2, "0"), rest)
+    fine = texts.select(F.regexp_replace("value", '"order_amount":[0-9.]+', amount).alias("value"))
+    valid = validate.valid_events(fine, C.ORDER_TOPIC)
+    return valid.select("order_id", F.col("order_amount").cast("string").alias("order_amount"))
+
+
 def v_quarantine_reasons(spark, sf_dir):
     bad = validate.quarantined(damaged_payments(spark, sf_dir), C.PAYMENT_TOPIC)
     payment_id = F.regexp_extract("value", '"payment_id":([0-9]+)', 1).cast("bigint")
@@ -435,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "s_order_json": _through_json(tables.order_events, C.ORDER_TOPIC),
     "s_detail_json": _through_json(tables.detail_events, C.DETAIL_TOPIC),
     "s_payment_json": _through_json(tables.payment_events, C.PAYMENT_TOPIC),
+    "v_money_rounding": v_money_rounding,
     "v_quarantine_reasons": v_quarantine_reasons,
     "v_valid_payments": v_valid_payments,
     "v_optional_rules": v_optional_rules,

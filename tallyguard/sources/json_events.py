@@ -11,21 +11,24 @@ from tallyguard.contracts import TOPIC_SCHEMAS
 CORRUPT = "_corrupt"
 # Whether the text is JSON and every field has a value that fits its type.
 WHOLE = "_whole"
+# All whole digits that an amount in range has, and twenty digits behind the point, so that only the
+# cast to cents rounds.
+EXACT_MONEY = T.DecimalType(38, 20)
 # Wide enough to tell an amount that is out of range from one that is no number.
 WIDE_MONEY = T.DecimalType(38, 10)
 
 
-def _read_type(dtype: T.DataType) -> T.DataType:
-    """Amounts are read exactly and wide; integers as text, since producers may quote them."""
-    return WIDE_MONEY if isinstance(dtype, T.DecimalType) else T.StringType()
+def _read_type(dtype: T.DataType, amount: T.DecimalType) -> T.DataType:
+    """Amounts are read as ``amount``; integers as text, since producers may quote them."""
+    return amount if isinstance(dtype, T.DecimalType) else T.StringType()
 
 
 def _fit(f: T.StructField, read: Column) -> Column:
     return read if isinstance(f.dataType, T.StringType) else read.try_cast(f.dataType)
 
 
-def _parsed(topic: str) -> Column:
-    schema = T.StructType([T.StructField(f.name, _read_type(f.dataType)) for f in TOPIC_SCHEMAS[topic].fields])
+def _parsed(topic: str, amount: T.DecimalType = EXACT_MONEY) -> Column:
+    schema = T.StructType([T.StructField(f.name, _read_type(f.dataType, amount)) for f in TOPIC_SCHEMAS[topic].fields])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return F.from_json(F.col("value"), schema.add(CORRUPT, T.StringType()), options)
 
@@ -52,12 +55,12 @@ def parse_topic(raw: DataFrame, topic: str) -> DataFrame:
 def form_breaches(topic: str) -> Column:
     """Names of what keeps the ``value`` text from being a whole record of the topic.
 
-    The text is parsed again, and the object's keys tell a missing field from a null
+    The text is parsed again, with wider amounts, and the object's keys tell a missing field from a null
     one; so this belongs behind a test for records that are not whole. As a lambda's
     body it is evaluated only there and stays out of the generated code.
     """
     fields = TOPIC_SCHEMAS[topic].fields
-    again = F.struct(_parsed(topic).alias("read"), F.json_object_keys("value").alias("keys"))
+    again = F.struct(_parsed(topic, WIDE_MONEY).alias("read"), F.json_object_keys("value").alias("keys"))
 
     def breaches(record: Column) -> Column:
         read, keys = record["read"], record["keys"]

@@ -36,6 +36,7 @@ CASES = [
     (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "create_time": T + ".001"}, ["payload_time"]),
     (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "create_time": "soon"}, ["payload_time"]),
     (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "order_amount": 10**25}, ["range:order_amount"]),
+    (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "order_amount": 10**18}, ["range:order_amount"]),
     (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "order_amount": "ten"}, ["malformed_json"]),
     (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "order_id": 1.5}, ["type:order_id"]),
     (C.ORDER_TOPIC, {**order(1, 1, 1.0, T), "shop_id": 10**19}, ["type:shop_id"]),
