@@ -5,7 +5,8 @@ the logarithm of its count. One weight vector is shared by ordered thresholds: t
 g or less is the logistic function of threshold g less the weighted sum. Grades: 0 is clean, 1 to 3
 are toxic documents by how dense the telling words are. The expected severity is the sum of the
 chances to exceed each threshold; the severity from which a document is toxic is calibrated on
-labelled documents held out of the fit.
+labelled documents held out of the fit, or on all of the sample where those are too few, and always
+lies above the severity of a text without features.
 
 The model is fitted on at most ``MAX_LABELLED`` labelled documents of each class, chosen by a hash
 of their ids; every document is scored, over its whole text. Null text counts as empty; repeated
@@ -21,6 +22,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ MAX_FEATURES = 8192
 MIN_DOCUMENTS, MIN_ODDS, BY_CHANCE = 3, 3.0, 0.05
 GRADES = 3
 HELD_OUT = 5
+# The cut is calibrated on unseen documents if there are so many of each class.
+MIN_JUDGED = 30
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -200,22 +204,45 @@ def train(
     )
     total = [sum(weights[j] * value(n) for j, n in zip(r["at"], r["n"])) for r in seen]
     expected = _sigmoid(np.array(total)[:, None] - thresholds[None, :]).sum(1)
-    judge = np.array([r["held"] for r in seen])
-    if not 0 < sum(r["toxic"] for r in seen if r["held"]) < judge.sum():
-        judge = ~judge
-    cut = best_cut(expected[judge], np.array([r["toxic"] for r in seen])[judge] == 1)
-    return Model(dict(zip(names, map(float, weights))), tuple(map(float, thresholds)), cut)
-
-
-def best_cut(scores: np.ndarray, toxic: np.ndarray) -> float:
-    """The score with the best F measure, between the neighbouring scores."""
-    order = np.argsort(-scores, kind="stable")
-    ranked, hits = scores[order], np.cumsum(toxic[order])
-    quality = 2 * hits / (np.arange(1, len(order) + 1) + toxic.sum())
-    last = np.concatenate([ranked[1:] < ranked[:-1], [True]])
-    best = int(np.argmax(np.where(last, quality, -1)))
-    below = ranked[best + 1] if best + 1 < len(ranked) else 0.0
-    return float((ranked[best] + below) / 2)
+    base = float(_sigmoid(0 - thresholds).sum()) + 1e-9
+    found = [
+        {"fitted": not r["held"], "toxic": r["toxic"], "low": x, "high": x, "n": 1} for r, x in zip(seen, map(float, expected))
+    ]
+    return Model(dict(zip(names, map(float, weights))), tuple(map(float, thresholds)), calibrated(found, base))
+
+
+def calibrated(found: list, base: float) -> float:
+    """The cut by the documents that the fit has not seen, or by all if those are too few or tell nothing."""
+    for rows in ([r for r in found if not r["fitted"]], found):
+        own = [sum(r["n"] for r in rows if r["toxic"] == c) for c in (0, 1)]
+        if rows is not found and min(own) < MIN_JUDGED:
+            continue
+        # A document counts so that the classes have their true shares.
+        worth = [sum(r["n"] for r in found if r["toxic"] == c) / own[c] for c in (0, 1)]
+        cut = best_cut([(r["low"], r["high"], r["n"] * worth[r["toxic"]], r["toxic"] == 1) for r in rows], base)
+        if cut < math.inf:
+            break
+    return cut
+
+
+def best_cut(counts: list[tuple[float, float, float, bool]], base: float) -> float:
+    """The severity above ``base`` with the best F measure, between neighbouring ones.
+
+    ``counts`` has (lowest, highest severity, number, toxic) of documents alike. Without toxic
+    documents above ``base`` the cut is infinite.
+    """
+    total = sum(n for *_, n, toxic in counts if toxic)
+    ranked = sorted((c for c in counts if c[1] > base), reverse=True)
+    # The highest severity behind each place.
+    behind = list(accumulate(reversed([c[1] for c in ranked[1:]]), max, initial=base))[::-1]
+    best, cut, hits, taken = 0.0, math.inf, 0.0, 0.0
+    for (low, _, n, toxic), below in zip(ranked, behind):
+        hits, taken = hits + n * toxic, taken + n
+        # Steps of the two classes overlap; only places between severities count.
+        if below < low and 2 * hits / (taken + total) > best:
+            best, middle = 2 * hits / (taken + total), (low + below) / 2
+            cut = middle if middle > below else low
+    return float(cut)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

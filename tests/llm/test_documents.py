@@ -363,6 +363,24 @@ def test_toxicity_query(spark, texts):
     assert len(rows) == len(texts) and all(0 <= r["severity"] <= 3 for r in rows)
 
 
+def test_cut_lies_above_texts_without_features():
+    # The held documents carry no feature: no place above them, then one among all.
+    tied = [(0.3, 0.3, 14, False), (0.3, 0.3, 2, True)]
+    assert toxicity.best_cut(tied, 0.3) == np.inf
+    assert toxicity.best_cut([*tied, (0.9, 0.9, 3, True)], 0.3) == pytest.approx(0.6)
+    # Steps of two classes that overlap are not torn apart.
+    assert toxicity.best_cut([(0.5, 0.8, 5, True), (0.6, 0.7, 1, False), (0.4, 0.45, 9, False)], 0.3) < 0.5
+
+
+def test_pipeline_keeps_clean_labelled_documents(spark, texts):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, SF_DIR).collect()}
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()
+    clean = {r["doc_id"] for r in labels if r["toxic"] == 0} & set(texts)
+    assert len(clean & kept) >= 0.9 * len(clean) and len(kept) < len(texts)
+    assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+
+
 def test_pipeline(spark, texts):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
