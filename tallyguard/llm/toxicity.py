@@ -5,11 +5,12 @@ the logarithm of its count. One weight vector is shared by ordered thresholds: t
 g or less is the logistic function of threshold g less the weighted sum. Grades: 0 is clean, 1 to 3
 are toxic documents by how dense the telling words are. The expected severity is the sum of the
 chances to exceed each threshold; the severity from which a document is toxic is calibrated on
-labelled documents held out of the fit, or on all of the sample where those are too few, and always
-lies above the severity of a text without features.
+the labelled documents that the fit has not seen, or on all labelled ones where those are too few,
+and always lies above the severity of a text without features.
 
 The model is fitted on at most ``MAX_LABELLED`` labelled documents of each class, chosen by a hash
-of their ids; every document is scored, over its whole text. Null text counts as empty; repeated
+of their ids and weighted by the true sizes of the classes; the cut counts all labelled documents
+left; every document is scored, over its whole text. Null text counts as empty; repeated
 rows get the same score; null or doubled labels count as absent, or as toxic if one of them is;
 without documents of both classes nothing is toxic; an empty table gives an empty table; columns
 called like a result are replaced.
@@ -21,7 +22,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import accumulate
 
 import numpy as np
@@ -37,8 +38,9 @@ MAX_FEATURES = 8192
 MIN_DOCUMENTS, MIN_ODDS, BY_CHANCE = 3, 3.0, 0.05
 GRADES = 3
 HELD_OUT = 5
-# The cut is calibrated on unseen documents if there are so many of each class.
-MIN_JUDGED = 30
+# The cut is calibrated on unseen documents if there are so many of each class; scores are counted
+# in so many steps per grade.
+MIN_JUDGED, STEPS = 30, 4096
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -68,24 +70,33 @@ def severity(text: str | None, model: Model) -> tuple[float, int]:
     return sum(above), max(range(len(chances)), key=chances.__getitem__)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, most: int) -> DataFrame:
-    """Up to ``most`` toxic and ``most`` clean labelled documents: text, toxic, held."""
+def labelled_ids(labels: DataFrame) -> DataFrame:
+    """One row per labelled id: _id, toxic."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter(F.col("_id").isNotNull() & F.col("toxic").isNotNull())
-    known = known.groupBy("_id").agg(F.max("toxic").alias("toxic"))
+    return known.groupBy("_id").agg(F.max("toxic").alias("toxic")).filter(F.col("toxic").isin(0, 1))
+
+
+def chosen_ids(known: DataFrame, most: int) -> DataFrame:
+    """Up to ``most`` toxic and ``most`` clean ids: _id, toxic, held."""
     chance = F.xxhash64("_id")
     chosen = None
     for label in (0, 1):
         mine = known.filter(F.col("toxic") == label).orderBy(chance, "_id").limit(most)
         chosen = mine if chosen is None else chosen.unionByName(mine)
-    held = (F.pmod(chance, F.lit(HELD_OUT)) == 0).alias("held")
-    # At most twice `most` rows of ids and labels.
-    chosen = F.broadcast(chosen.select("_id", "toxic", held))
-    return docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(chosen, "_id")
+    return chosen.select("_id", "toxic", (F.pmod(chance, F.lit(HELD_OUT)) == 0).alias("held"))
+
+
+def _by_class(rows: DataFrame) -> dict[int, int]:
+    return {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def _features(sample: DataFrame) -> dict[str, float]:
-    """Telling words with the logarithm of their odds of standing in a toxic document."""
+def _features(sample: DataFrame, totals: dict[int, int], weight: dict[int, float]) -> dict[str, float]:
+    """Telling words with the logarithm of their odds of standing in a toxic document.
+
+    ``totals`` are the documents of each class in the whole table, ``weight`` what one of the sample
+    stands for.
+    """
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,10 +109,7 @@ def _features(sample: DataFrame) -> dict[str, float]:
                 pa.schema([("w", pa.string()), ("toxic", pa.int32()), ("n", pa.int64())]),
             )
 
-    totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    yes, no = totals.get(1, 0), totals.get(0, 0)
-    if not yes or not no:
-        return {}
+    yes, no = (totals[c] / weight[c] for c in (1, 0))
     counts = sample.filter(~F.col("held")).mapInArrow(words, "w string, toxic int, n bigint")
     sums = counts.groupBy("w").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
@@ -109,11 +117,12 @@ def _features(sample: DataFrame) -> dict[str, float]:
     )
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     sums = sums.filter(a + b >= MIN_DOCUMENTS)
-    tests, base = sums.count(), yes / (yes + no)
+    tests, base = sums.count(), totals[1] / (totals[1] + totals[0])
+    odds = F.log(((a + 0.5) * no) / ((b + 0.5) * yes))
     # Log-likelihood ratio of the word's own share of toxic documents against that of all.
+    a, b = a * weight[1], b * weight[0]
     ratio = F.when(a > 0, a * F.log(a / (a + b) / base)).otherwise(0.0)
     ratio = ratio + F.when(b > 0, b * F.log(b / (a + b) / (1 - base))).otherwise(0.0)
-    odds = F.log(((a + 0.5) * no) / ((b + 0.5) * yes))
     scored = sums.select("w", odds.alias("odds"), ratio.alias("x"))
     strong = (F.abs("odds") >= math.log(MIN_ODDS)) & (F.col("x") >= math.log(max(tests, 1) / BY_CHANCE))
     best = scored.filter(strong).orderBy(F.desc("x"), "w")
@@ -126,14 +135,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit_ordinal(
     rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, features: int,
-    penalty: float = 1e-3, steps: int = 400, rate: float = 0.1,
+    penalty: float = 1e-3, steps: int = 400, rate: float = 0.1, share: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds by gradient steps on the mean log-likelihood.
 
+    ``share`` is what each row counts in that mean, by default the same.
     The features are given as (row, column, value) triples. Thresholds are a first one and
     increments kept positive by the exponential function.
     """
     n, top = len(grades), int(GRADES)
+    share = np.full(n, 1 / n) if share is None else share / share.sum()
     weights, raw = np.zeros(features), np.concatenate([[1.0], np.zeros(top - 1)])
     state = [np.zeros(features + top), np.zeros(features + top)]
     for step in range(1, steps + 1):
@@ -145,11 +156,11 @@ def fit_ordinal(
         slope = at_most * (1 - at_most)
         chance = np.maximum(at_most[np.arange(n), grades + 1] - at_most[np.arange(n), grades], 1e-12)
         upper, lower = slope[np.arange(n), grades + 1] / chance, slope[np.arange(n), grades] / chance
-        by_total = (lower - upper) / n
+        by_total = (lower - upper) * share
         by_weight = np.bincount(columns, -by_total[rows] * values, features) * -1 - penalty * weights
         by_threshold = np.zeros(top)
-        np.add.at(by_threshold, grades[grades < top], upper[grades < top] / n)
-        np.add.at(by_threshold, grades[grades > 0] - 1, -lower[grades > 0] / n)
+        np.add.at(by_threshold, grades[grades < top], (upper * share)[grades < top])
+        np.add.at(by_threshold, grades[grades > 0] - 1, -(lower * share)[grades > 0])
         tails = np.cumsum(by_threshold[::-1])[::-1]
         by_raw = np.concatenate([tails[:1], tails[1:] * np.exp(raw[1:])])
         gradient = np.concatenate([by_weight, by_raw])
@@ -163,12 +174,23 @@ def fit_ordinal(
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most: int = MAX_LABELLED
 ) -> Model:
-    """Fit the model on a bounded sample of labelled documents.
+    """Fit the model on a bounded sample of labelled documents, and its cut on all others.
 
-    What reaches the driver are the telling words and, per sampled document, their counts in it.
+    What reaches the driver are the telling words and, per sampled document, their counts in it;
+    of the others, how many have which severity.
     """
-    sample = labelled_sample(docs, labels, key, text, most)
-    odds = _features(sample)
+    known = labelled_ids(labels)
+    chosen = chosen_ids(known, most)
+    every = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
+    # At most twice `most` rows of ids and labels.
+    sample = every.join(F.broadcast(chosen), "_id")
+    totals, drawn = _by_class(every.join(known, "_id")), _by_class(sample)
+    if not all(counts.get(c) for counts in (totals, drawn) for c in (0, 1)):
+        return Model()
+    each = sum(drawn.values()) / sum(totals.values())
+    # One on average over the sample.
+    weight = {c: totals[c] / drawn[c] * each for c in (0, 1)}
+    odds = _features(sample, totals, weight)
     if not odds:
         return Model()
     names = sorted(odds)
@@ -199,16 +221,36 @@ def train(
     kept = [i for i, r in enumerate(seen) if not r["held"]]
     triples = [(row, j, value(n)) for row, i in enumerate(kept) for j, n in zip(seen[i]["at"], seen[i]["n"])]
     table = np.array(triples, np.float64).reshape(-1, 3)
+    share = np.array([weight[seen[i]["toxic"]] for i in kept])
     weights, thresholds = fit_ordinal(
-        table[:, 0].astype(int), table[:, 1].astype(int), table[:, 2], grades[kept], len(names)
+        table[:, 0].astype(int), table[:, 1].astype(int), table[:, 2], grades[kept], len(names), share=share
+    )
+    model = Model(dict(zip(names, map(float, weights))), tuple(map(float, thresholds)))
+    return replace(model, cut=calibrated(judged(every, known, chosen, model), severity("", model)[0]))
+
+
+def judged(every: DataFrame, known: DataFrame, chosen: DataFrame, model: Model) -> list:
+    """The severities of all labelled documents, counted: rows of fitted (whether the fit saw them),
+    toxic, low and high (of the severities in a step), n."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [severity(t.as_py(), model)[0] for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["_id", "_s"])
+
+    scored = every.filter(F.col("_id").isNotNull())
+    # The texts stay where they are; only ids and severities are joined with the labels.
+    types = T.StructType([every.schema["_id"], T.StructField("_s", T.DoubleType())])
+    scored = scored.mapInArrow(add, types).join(known, "_id")
+    fitted = chosen.filter(~F.col("held")).select("_id", F.lit(True).alias("fitted"))
+    scored = scored.join(F.broadcast(fitted), "_id", "left").fillna(False, ["fitted"])
+    # At most `STEPS` rows per grade, class and side; the texts without features have one of their own.
+    base = F.lit(severity("", model)[0])
+    step = F.when(F.col("_s") > base, F.floor(F.col("_s") * STEPS)).otherwise(-1)
+    counted = scored.groupBy("fitted", "toxic", step.alias("step")).agg(
+        F.min("_s").alias("low"), F.max("_s").alias("high"), F.count(F.lit(1)).alias("n")
     )
-    total = [sum(weights[j] * value(n) for j, n in zip(r["at"], r["n"])) for r in seen]
-    expected = _sigmoid(np.array(total)[:, None] - thresholds[None, :]).sum(1)
-    base = float(_sigmoid(0 - thresholds).sum()) + 1e-9
-    found = [
-        {"fitted": not r["held"], "toxic": r["toxic"], "low": x, "high": x, "n": 1} for r, x in zip(seen, map(float, expected))
-    ]
-    return Model(dict(zip(names, map(float, weights))), tuple(map(float, thresholds)), calibrated(found, base))
+    return counted.select("fitted", "toxic", "low", "high", "n").collect()
 
 
 def calibrated(found: list, base: float) -> float:

@@ -381,6 +381,29 @@ def test_pipeline_keeps_clean_labelled_documents(spark, texts):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
 
 
+def test_cut_does_not_depend_on_the_sample_of_a_class(spark):
+    # One toxic document in nine, some telling words in clean ones: with 1 to 1 samples more would go.
+    draw, docs, labels = random.Random(8), [], []
+    for i in range(9000):
+        toxic = i % 9 == 0
+        words = draw.choices(["alpha", "beta", "gamma", "delta"], k=20)
+        for word, inside, outside in (("scum", 0.7, 0.02), ("idiot", 0.5, 0.1), ("fool", 0.4, 0.15)):
+            if draw.random() < (inside if toxic else outside):
+                words.append(word)
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    table = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    sent = []
+    for most in (20_000, 900):
+        model = toxicity.train(df, table, most=most)
+        chosen = [toxicity.severity(t, model)[0] >= model.cut for _, t in docs]
+        sent.append((sum(chosen), toxicity.severity("", model)[0]))
+    (whole, base), (bounded, bounded_base) = sent
+    assert abs(whole - bounded) <= 0.1 * whole
+    assert bounded_base == pytest.approx(base, rel=0.25)
+
+
 def test_pipeline(spark, texts):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
