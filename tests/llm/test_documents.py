@@ -234,6 +234,41 @@ def test_shards_with_a_giant_group_and_small_ones(spark, monkeypatch):
     assert max(loads) <= 9000 and len(loads) <= -(-sum(loads) // 9000) + 1
 
 
+def best_fit_one_by_one(sizes, capacity, count):
+    """Loads of the bins, placing the falling ``sizes`` one by one."""
+    left = [capacity] * (count or 0)
+    for size in sizes:
+        enough = [i for i, r in enumerate(left) if r >= size]
+        if not enough and count is None:
+            left.append(capacity)
+            enough = [len(left) - 1]
+        at = min(enough, key=lambda i: (left[i], i)) if enough else max(range(len(left)), key=lambda i: (left[i], i))
+        left[at] -= size
+    return sorted(capacity - r for r in left)
+
+
+def test_sharding_places_all_groups_by_best_fit(spark, monkeypatch):
+    draw = random.Random(9)
+    for _ in range(60):
+        capacity, count = draw.choice([50, 100, 333]), draw.choice([None, 1, 3, 8])
+        sizes = sorted((draw.randint(1, 40) for _ in range(draw.randint(1, 200))), reverse=True)
+        bins, left = sharding.best_fit(sizes, capacity, count)
+        loads = Counter()
+        for size, number in zip(sizes, bins):
+            loads[number] += size
+        assert sorted(loads[n] for n in range(len(left))) == best_fit_one_by_one(sizes, capacity, count)
+        assert [capacity - loads[n] for n in range(len(left))] == left
+    # However few groups are large: shards of a capacity are filled to the brim, without a slack.
+    monkeypatch.setattr(sharding, "LARGE_SHARE", 1)
+    sizes = [draw.choice([300, 700, 450, 550, 37, 1]) for _ in range(3000)]
+    df = spark.createDataFrame([(f"t{i}", n) for i, n in enumerate(sizes)], "g string, size bigint")
+    for count, capacity in ((None, 1000), (8, None)):
+        placed = sharding.assign(df, "g", "size", count, capacity)
+        loads = [r["b"] for r in placed.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+        wanted = best_fit_one_by_one(sorted(sizes, reverse=True), capacity or -(-sum(sizes) // count), count)
+        assert sorted(loads) == wanted and placed.count() == len(sizes)
+
+
 def test_tightest_bin():
     assert sharding.best_fit([6, 5, 4, 3, 2], 10, None) == ([0, 1, 0, 1, 1], [0, 0])
 
