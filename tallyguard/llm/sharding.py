@@ -203,24 +203,29 @@ def looked_up(ranked: DataFrame, group: str, plan: list[tuple[int, int, int, int
 def assign(rows: DataFrame, group: str, size: str, count: int | None = None, capacity: int | None = None) -> DataFrame:
     """``rows`` with ``shard``: ``count`` shards of equal size, or as few as possible of ``capacity``.
 
-    Rows with equal ``group`` go to one shard. ``rows`` is read several times: pass a stored table.
+    Rows with equal ``group``, null among them, go to one shard; a group of null or no size counts as 1. ``rows`` is read several times: pass a stored table.
     """
     if (count is None) == (capacity is None):
         raise ValueError("either a number of shards or a capacity")
-    groups = stored(rows.groupBy(group).agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("n")), "groups")
+    summed = F.greatest(F.coalesce(F.sum(size), F.lit(0)), F.lit(1)).alias("bytes")
+    groups = stored(rows.groupBy(group).agg(summed, F.count(F.lit(1)).alias("n")), "groups")
     # A row per distinct size.
     found = groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n")).collect()
     counts, all_rows = {r["bytes"]: r["c"] for r in found}, sum(r["n"] for r in found)
     ranked = numbered(groups, ["bytes"], [group], "rank", PARTS)
     shards = looked_up(ranked, group, shard_plan(counts, count, capacity), counts)
     is_large = F.col("n") * LARGE_SHARE >= F.lit(all_rows)
-    large = groups.filter(is_large).select(group)
-    placed = stored(shards.join(F.broadcast(large.withColumn("_large", F.lit(True))), group, "left"), "placed")
+    large = groups.filter(is_large).select(F.col(group).alias("_large"), F.lit(True).alias("_is_large"))
+    same = F.col("_group").eqNullSafe(F.col("_large"))
+    shards = shards.withColumnRenamed(group, "_group")
+    placed = stored(shards.join(F.broadcast(large), same, "left").drop("_large"), "placed")
     # Large groups may hold most rows; their table is bounded, so they need no shuffle by group.
-    heavy, light = (placed.filter(c).drop("_large") for c in (F.col("_large"), F.col("_large").isNull()))
-    hot = rows.join(F.broadcast(heavy), group)
-    others = rows.join(F.broadcast(heavy.select(group)), group, "left_anti").join(light, group)
-    return hot.unionByName(others)
+    heavy, light = (placed.filter(c).drop("_is_large") for c in (F.col("_is_large"), F.col("_is_large").isNull()))
+    # A null group is a group like any other.
+    same = F.col(group).eqNullSafe(F.col("_group"))
+    hot = rows.join(F.broadcast(heavy), same)
+    others = rows.join(F.broadcast(heavy.select("_group")), same, "left_anti").join(light, same)
+    return hot.unionByName(others).drop("_group")
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -273,6 +273,17 @@ def test_tightest_bin():
     assert sharding.best_fit([6, 5, 4, 3, 2], 10, None) == ([0, 1, 0, 1, 1], [0, 0])
 
 
+@pytest.mark.parametrize("share", [1, 20_000])
+def test_shards_keep_null_groups_and_sizes(spark, monkeypatch, share):
+    monkeypatch.setattr(sharding, "LARGE_SHARE", share)
+    rows = [(None, 5), (None, 6), ("a", 0), ("b", None), ("c", 4), ("c", None), (None, None)]
+    df = spark.createDataFrame(rows, "g string, size bigint")
+    for count, capacity in ((2, None), (None, 20)):
+        got = sharding.assign(df, "g", "size", count, capacity).collect()
+        assert Counter((r["g"], r["size"]) for r in got) == Counter(rows)
+        assert len({(r["g"], r["shard"]) for r in got}) == 4
+
+
 def test_sharding_of_odd_rows(spark, odd, empty):
     got = sharding.shard_documents(odd, count=8).collect()
     assert len(got) == 9 and {r["size"] for r in got if r["doc_id"] in (2, 3)} == {1}
