@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.llm import ann, bpe, near_dup, packing, pii, secrets, sharding, simhash, spans, toxicity, urls
-from tallyguard.llm.common import shipping, stored, table
+from tallyguard.llm.common import join_keys, shipping, stored, table
 from tallyguard.llm.oracles import SQL  # noqa: F401
 
 URL_RULES = [
@@ -54,16 +54,17 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``n_near``, for ids divisible by 100: other fingerprints of the table within 3 bits."""
+    """For ids divisible by 100: ``n_near``, the other documents within 3 bits, and ``near``, their fingerprints'
+    representatives with distance and number of documents. A representative is the smallest id of a fingerprint;
+    every document names its own, so a fingerprint's members are the rows with that ``representative``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     prints = stored(simhash.compare_with_edit(docs), "simhash")
-    asked = F.col("doc_id") % 100 == 0
-    pairs = simhash.near(prints.filter(asked), prints).filter("query <> fingerprint")
-    counts = pairs.groupBy("query").agg(F.count(F.lit(1)).alias("n_near")).withColumnRenamed("query", "fingerprint")
-    queried = prints.filter(asked).join(counts, "fingerprint", "left").fillna(0, ["n_near"])
-    others = prints.filter(~F.coalesce(asked, F.lit(False))).withColumn("n_near", F.lit(None).cast("bigint"))
+    asked = F.coalesce(F.col("doc_id") % 100 == 0, F.lit(False))
+    matched = stored(simhash.near_documents(prints.filter(asked), prints), "simhash-near")
+    found = join_keys(prints, matched, "fingerprint", "n_docs")
+    found = found.withColumns({c: F.when(asked, F.col(c)) for c in ("n_near", "near")})
     own, new, after = (F.col(f"{x}fingerprint") for x in ("", "edited_", "next_"))
-    return queried.unionByName(others).select(
+    return found.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
@@ -72,6 +73,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         simhash.likeness(own, new).alias("near_edited"),
         simhash.likeness(own, after).alias("near_next"),
         "n_near",
+        "representative",
+        "near",
     )
 
 

@@ -182,3 +182,22 @@ def near(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: int = 6
     met = entries(queries, "query").join(entries(prints, "fingerprint"), ["_table", "_block"])
     found = met.withColumn("distance", distance(F.col("query"), F.col("fingerprint")))
     return found.filter(F.col("distance") <= radius).select("query", "fingerprint", "distance").distinct()
+
+
+def near_documents(queries: DataFrame, prints: DataFrame, key: str = "doc_id", radius: int = 3) -> DataFrame:
+    """One row per fingerprint of ``prints``: fingerprint, n_docs, representative (its smallest key), and for
+    those of ``queries``, some of the documents of ``prints``, n_near and near, else null.
+
+    ``n_near`` counts the documents within the radius but one, the query itself; ``near`` has the
+    representatives of their fingerprints, nearest first, the query's own where other documents share it
+    (no more than there are values within the radius).
+    """
+    members = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_docs"), F.min(key).alias("representative"))
+    met = near(queries, prints, radius).join(members, "fingerprint")
+    alone = (F.col("distance") == 0) & (F.col("n_docs") == 1)
+    match = F.struct("distance", F.col("representative").alias(key), "n_docs")
+    found = met.groupBy(F.col("query").alias("fingerprint")).agg(
+        (F.sum("n_docs") - 1).alias("n_near"),
+        F.sort_array(F.collect_list(F.when(~alone, match))).alias("near"),
+    )
+    return members.join(found, "fingerprint", "left")

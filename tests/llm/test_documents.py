@@ -130,6 +130,36 @@ def test_simhash_query(spark, texts):
             assert r["n_near"] == len(others)
 
 
+def test_simhash_counts_copies_and_names_them(spark, tmp_path):
+    draw = random.Random(12)
+    words = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(1500)]
+    base = " ".join(words)
+    docs = {0: base, 100: "nothing like the others", 200: base.upper()}
+    docs |= {i: base for i in range(1, 30)}
+    docs |= {30 + i: " ".join([*words[: 40 * i], "changed", *words[40 * i + 1 :]]) for i in range(20)}
+    docs |= {60 + i: " ".join(draw.sample(words, 200)) for i in range(10)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in queries.QUERIES["op8_simhash"](spark, str(tmp_path)).collect()}
+    prints = {i: simhash_terms_by_hand(t) for i, t in docs.items()}
+    members = defaultdict(set)
+    for i, r in rows.items():
+        assert r["representative"] == min(j for j in prints if prints[j] == prints[i])
+        members[r["representative"]].add(i)
+    assert set(rows) == set(docs) and rows[0]["n_near"] > 30
+    for i, r in rows.items():
+        if i % 100:
+            assert r["n_near"] is None and r["near"] is None
+            continue
+        wanted = {j for j in prints if j != i and (prints[j] ^ prints[i]).bit_count() <= 3}
+        assert r["n_near"] == len(wanted)
+        assert {j for m in r["near"] for j in members[m["doc_id"]]} - {i} == wanted
+        for m in r["near"]:
+            assert m["distance"] == (prints[m["doc_id"]] ^ prints[i]).bit_count()
+            assert m["n_docs"] == len(members[m["doc_id"]])
+    assert rows[100]["near"] == []
+
+
 def test_simhash_tables_find_all(spark):
     draw = random.Random(5)
     seeds = [draw.getrandbits(63) for _ in range(40)]
