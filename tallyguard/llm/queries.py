@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import ann, bpe, near_dup, packing, pii, secrets, sharding, simhash, spans, toxicity, urls
+from tallyguard.llm import ann, bpe, near_dup, packing, pii, secrets, sharding, simhash, spans, toxicity, turns, urls
 from tallyguard.llm.common import join_keys, shipping, stored, table
 from tallyguard.llm.oracles import SQL  # noqa: F401
 
@@ -90,6 +90,11 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op11_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    harmed = turns.damaged(table(spark, sf_dir, "conversations"))
+    return turns.summaries(harmed, dropped=F.col("dropped"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -101,5 +106,6 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_near_dup": op9_near_dup,
     "op10_urls": op10_urls,
+    "op11_turns": op11_turns,
 }
 QUERIES = {name: shipping(query) for name, query in QUERIES.items()}
