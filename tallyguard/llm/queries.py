@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import ann, bpe, near_dup, packing, pii, secrets, sharding, simhash, spans, toxicity, turns, urls
+from tallyguard.llm import ann, bpe, near_dup, packing, pii, secrets, sharding, simhash, spans, toxicity, turns, urls, warc
 from tallyguard.llm.common import join_keys, shipping, stored, table
 from tallyguard.llm.oracles import SQL  # noqa: F401
 
@@ -95,6 +95,10 @@ def op11_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.summaries(harmed, dropped=F.col("dropped"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -107,5 +111,6 @@ QUERIES = {
     "op9_near_dup": op9_near_dup,
     "op10_urls": op10_urls,
     "op11_turns": op11_turns,
+    "op12_warc": op12_warc,
 }
 QUERIES = {name: shipping(query) for name, query in QUERIES.items()}
