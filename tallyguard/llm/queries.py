@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import ann, bpe, near_dup, packing, pii, secrets, sharding, simhash, spans, toxicity, turns, urls, warc
+from tallyguard.llm import (
+    ann,
+    bpe,
+    near_dup,
+    packing,
+    pii,
+    ranked,
+    secrets,
+    sharding,
+    simhash,
+    spans,
+    toxicity,
+    turns,
+    urls,
+    warc,
+)
 from tallyguard.llm.common import join_keys, shipping, stored, table
 from tallyguard.llm.oracles import SQL  # noqa: F401
 
@@ -99,6 +114,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -112,5 +131,6 @@ QUERIES = {
     "op10_urls": op10_urls,
     "op11_turns": op11_turns,
     "op12_warc": op12_warc,
+    "op13_ranked": op13_ranked,
 }
 QUERIES = {name: shipping(query) for name, query in QUERIES.items()}
