@@ -127,18 +127,21 @@ SPLIT_ALERTS = f"WITH {','.join([ORDERS, PAYMENTS, SPLIT_TOTALS, SNAPSHOTS])},{A
 SPARSE_RULES = (7 * DAY_MS, DAY_MS, 12 * HOUR_MS, 2, 7 * DAY_MS), (DAY_MS, 4 * HOUR_MS, 0, 3, DAY_MS)
 DEFAULT_RULES = (60_000, 10_000, 120_000, 5, 180_000), (180_000, 10_000, 0, 3, 180_000)
 FAIL_SLIDE = SPARSE_RULES[1][1]
-# A day in 8.64 seconds.
-QUICK = f"({ms('ts')} // 10000 + 1700000000000)"
+# A day in 17.28 seconds, up to five orders a click, every other purchase for an order nine days old.
+QUICK = f"({ms('ts')} // 5000 + 1700000000000)"
+QUICK_ORDERS, QUICK_LATER = 5, 8
 
 
-def user_facts(time: str = ms("ts")) -> str:
+def user_facts(time: str = ms("ts"), most: int = 1, later: int = 0) -> str:
+    """A click opens 1 to ``most`` orders of its day; a purchase pays one of the day before, or every other of ``later`` days earlier."""
     return f"""
 act AS (SELECT event_id, user_id, event_type, {time} AS time_ms, {ms('ts')} // {DAY_MS} AS day FROM events),
-ord AS (SELECT user_id, user_id * 100000 + day AS order_id, time_ms AS create_ms
-        FROM act WHERE event_type = 'click'
+opened AS (SELECT *, unnest(range(1 + event_id % {most})) AS part FROM act WHERE event_type = 'click'),
+ord AS (SELECT user_id, (user_id * 100000 + day) * {most} + part AS order_id, time_ms AS create_ms
+        FROM opened
         QUALIFY row_number() OVER (PARTITION BY user_id, order_id
                                    ORDER BY time_ms DESC, 'click:' || event_id DESC) = 1),
-paid AS (SELECT user_id, user_id * 100000 + day - 1 AS order_id, min(time_ms) AS paid_ms
+paid AS (SELECT user_id, (user_id * 100000 + day - 1 - event_id % 2 * {later}) * {most} + event_id % {most} AS order_id, min(time_ms) AS paid_ms
          FROM act WHERE event_type = 'purchase' GROUP BY ALL),
 ordp AS (SELECT ord.*, paid.paid_ms FROM ord LEFT JOIN paid USING (user_id, order_id))"""
 
@@ -185,14 +188,14 @@ ua AS (SELECT 'H' || {day_text('window_end_ms')} || {stable("user_id || ':' || w
 FROM picks)"""
 
 
-def user_ctes(time: str, rules: tuple) -> str:
-    return ",".join([user_facts(time), user_counts(rules), picks(rules)])
+def user_ctes(time: str, rules: tuple, most: int = 1, later: int = 0) -> str:
+    return ",".join([user_facts(time, most, later), user_counts(rules), picks(rules)])
 
 
 USER_FACTS, USER_COUNTS = user_facts(), user_counts()
 USER_CTES = user_ctes(ms("ts"), SPARSE_RULES)
 USER_WITH = f"WITH RECURSIVE {USER_CTES},{user_rows()}"
-DEFAULT_WITH = f"WITH RECURSIVE {user_ctes(QUICK, DEFAULT_RULES)},{user_rows(DEFAULT_RULES)}"
+DEFAULT_WITH = f"WITH RECURSIVE {user_ctes(QUICK, DEFAULT_RULES, QUICK_ORDERS, QUICK_LATER)},{user_rows(DEFAULT_RULES)}"
 
 
 def user_alerts(condition: str = "true", ctes: str = USER_WITH) -> str:

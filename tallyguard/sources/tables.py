@@ -31,8 +31,9 @@ ACTIVITY_PARAMS = UserParams(
 )
 # Distance between a user's order ids in the activity mapping; day numbers stay below it.
 USER_SPAN = 100_000
-# Quick motion: a day passes in 8.64 seconds, counted from a later start.
-QUICK, QUICK_START = 10_000, 1_700_000_000_000
+# Quick motion: a day passes in 17.28 seconds, counted from a later start; a click opens up to five orders,
+# and every other purchase is for an order that is eight days older.
+QUICK, QUICK_START, QUICK_ORDERS, QUICK_LATER = 5_000, 1_700_000_000_000, 5, 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -186,11 +187,23 @@ def activity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quick_activity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same behaviour in quick motion, dense enough for windows of a minute."""
+    """The same behaviour in quick motion, dense enough for windows of a minute: a click opens one to
+    five orders of its day, and a purchase pays one that the day before, or nine days before, may have."""
 
     def quick(name: str) -> Column:
         return F.floor(F.col(name) / QUICK).cast("bigint") + QUICK_START
 
     times = {name: quick(name) for name in ("event_time_ms", "create_time_ms", "payment_time_ms")}
     moved = activity_events(spark, sf_dir).withColumns(times)
-    return moved.withColumn("business_date", business_date(F.col("event_time_ms")))
+    moved = moved.withColumn("business_date", business_date(F.col("event_time_ms")))
+    event, kind = F.substring_index("event_id", ":", -1).cast("bigint"), F.col("event_type")
+    number = event % QUICK_ORDERS
+    earlier = F.when(kind == PAYMENT_SUCCESS, event % 2 * QUICK_LATER).otherwise(0)
+    order = (F.col("order_id") - earlier) * QUICK_ORDERS
+    opened = F.when(kind == ORDER_CREATED, F.sequence(F.lit(0).cast("bigint"), number)).otherwise(F.array(number))
+    parted = moved.withColumn("part", F.explode(opened))
+    names = {
+        "event_id": F.when(kind == ORDER_CREATED, F.concat_ws(":", "event_id", "part")).otherwise(F.col("event_id")),
+        "order_id": F.when(kind == PAYMENT_FAILED, F.col("order_id")).otherwise(order + F.col("part")),
+    }
+    return parted.withColumns(names).drop("part")
