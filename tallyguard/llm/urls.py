@@ -2,13 +2,13 @@
 
 Two smoothed variable-order Markov models (orders 0 to 2, each order interpolated with the one
 below) are counted from accepted and rejected URLs; the length-normalised difference of their
-log-likelihoods, against a threshold calibrated on URLs held out of the counting, gives the verdict.
+log-likelihoods, against a threshold calibrated out of fold, gives the verdict.
 
 Everything is a column expression. A null URL, or one without ``://``, has an empty host and path
 and fits no rule; URLs of any length are scored whole; URLs are judged one by one, so repeated rows
 and ties change nothing; an empty table gives an empty table; other columns stay, but for those
-called like a result, which are replaced. Without accepted or without rejected URLs the models say
-nothing and the threshold decides for ``allow``.
+called like a result, which are replaced. Without accepted or without rejected URLs the ratio is 0
+everywhere and every URL without a rule is allowed.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABET = "^abcdefghijklmnopqrstuvwxyz0./-_?=&:#%~"
 SIZE = len(ALPHABET)
 ALLOW, BLOCK = "allow", "block"
-# One URL in so many is held out for the threshold.
-HELD_OUT = 5
+# Parts of the labelled URLs, each scored by models of the others.
+FOLDS = 5
 BINS = 2000
 RANGE = 10.0
 
@@ -103,35 +103,47 @@ def smoothed(counts: np.ndarray) -> np.ndarray:
     return chance
 
 
-def ratio(url: Column, ratios) -> Column:
-    """Difference of the log-likelihoods per character; 0 for an empty URL."""
+def ratio(url: Column, ratios, offset: Column | int = 0) -> Column:
+    """Difference of the log-likelihoods per character; 0 for an empty URL. With several models one
+    behind the other, ``offset`` is the place where the model to use begins."""
     table, found = double_array(ratios), triples(url)
-    terms = F.transform(found, lambda t: F.element_at(table, t + 1))
+    terms = F.transform(found, lambda t: F.element_at(table, (t + 1 + offset).cast("int")))
     return F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x) / F.greatest(F.size(found), F.lit(1))
 
 
+def log_ratios(counts: np.ndarray) -> np.ndarray:
+    """Log-likelihood differences of all triples by counts (rejected, accepted); 0 without one of them."""
+    if not counts.sum(1).all():
+        return np.zeros(SIZE**3)
+    no, yes = (smoothed(c.reshape(SIZE, SIZE, SIZE)) for c in counts)
+    return np.log(yes / no).ravel()
+
+
 def train(labelled: DataFrame, url: str = "url", accepted: str = "accepted") -> Model:
-    """Count both models from all labelled URLs and calibrate the threshold on the held-out fifth.
+    """Count both models from all labelled URLs and calibrate the threshold out of fold.
 
-    What reaches the driver is bounded by the alphabet (two times 39 cubed counts) and by the
-    bins of the score histograms.
+    Every URL is scored by models counted from the other folds, so all of them calibrate the
+    threshold, at every size, and none by a model that has seen it. What reaches the driver is
+    bounded by the alphabet (two times 39 cubed counts a fold) and by the bins of the histograms.
     """
-    rows = labelled.filter(F.col(url).isNotNull()).select(F.col(url).alias("u"), F.col(accepted).alias("a"))
-    held = F.pmod(F.xxhash64("u"), F.lit(HELD_OUT)) == 0
-    seen = rows.filter(~held).select("a", F.explode(triples(F.col("u"))).alias("t"))
-    counts = np.zeros((2, SIZE**3))
-    for r in seen.groupBy("a", "t").agg(F.count(F.lit(1)).alias("n")).collect():
-        counts[int(r["a"]), r["t"]] = r["n"]
-    yes, no = (smoothed(counts[i].reshape(SIZE, SIZE, SIZE)) for i in (1, 0))
-    ratios = tuple(np.log(yes / no).ravel().tolist())
-
-    score = F.least(F.greatest(ratio(F.col("u"), ratios), F.lit(-RANGE)), F.lit(RANGE))
-    binned = rows.filter(held).select("a", F.floor((score + RANGE) / (2 * RANGE) * BINS).cast("int").alias("b"))
+    rows = labelled.filter(F.col(url).isNotNull() & F.col(accepted).isNotNull())
+    fold = F.pmod(F.xxhash64(F.col(url)), F.lit(FOLDS)).cast("int")
+    rows = rows.select(F.col(url).alias("u"), F.col(accepted).alias("a"), fold.alias("f"))
+    seen = rows.select("a", "f", F.explode(triples(F.col("u"))).alias("t"))
+    counts = np.zeros((FOLDS, 2, SIZE**3))
+    for r in seen.groupBy("a", "f", "t").agg(F.count(F.lit(1)).alias("n")).toLocalIterator():
+        counts[r["f"], int(r["a"]), r["t"]] = r["n"]
+    total = counts.sum(0)
+    if not total.sum(1).all():
+        return Model((0.0,) * SIZE**3, 0.0)
+    ratios = tuple(log_ratios(total).tolist())
+
+    unseen = np.concatenate([log_ratios(total - own) for own in counts])
+    score = F.least(F.greatest(ratio(F.col("u"), unseen, F.col("f") * SIZE**3), F.lit(-RANGE)), F.lit(RANGE))
+    binned = rows.select("a", F.floor((score + RANGE) / (2 * RANGE) * BINS).cast("int").alias("b"))
     hist = np.zeros((2, BINS + 1))
     for r in binned.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).collect():
         hist[int(r["a"]), r["b"]] = r["n"]
-    if not hist.sum(1).all():
-        return Model(ratios, 0.0)
     # Below bin b is rejected: the share of rejected URLs caught plus that of accepted ones kept.
     below = np.concatenate([[[0.0], [0.0]], np.cumsum(hist, 1)], 1) / hist.sum(1, keepdims=True)
     gain = below[0] + 1 - below[1]
