@@ -77,26 +77,35 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(row)))
 
 
-def running_sums(steps: Column) -> Column:
-    """Inclusive running sums of an array of bigint, in blocks, so that long arrays cost little more."""
+def running(steps: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Inclusive running results, from 0, over an array of bigint, in blocks, so that long arrays cost little more."""
 
-    def sums(values: Column) -> Column:
-        start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<bigint>").alias("out"))
+    def results(values: Column) -> Column:
+        start = F.struct(F.lit(0).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("out"))
 
         def add(acc: Column, x: Column) -> Column:
-            total = acc["sum"] + x
-            return F.struct(total.alias("sum"), F.concat(acc["out"], F.array(total)).alias("out"))
+            last = combine(acc["last"], x)
+            return F.struct(last.alias("last"), F.concat(acc["out"], F.array(last)).alias("out"))
 
         return F.aggregate(values, start, add, lambda acc: acc["out"])
 
     last = F.floor((F.size(steps) - 1) / BLOCK).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: sums(F.slice(steps, b * BLOCK + 1, F.lit(BLOCK))))
-    totals = sums(F.transform(blocks, lambda b: F.element_at(b, -1)))
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: results(F.slice(steps, b * BLOCK + 1, F.lit(BLOCK))))
+    totals = results(F.transform(blocks, lambda b: F.element_at(b, -1)))
     before = F.concat(F.array(F.lit(0).cast("bigint")), F.slice(totals, F.lit(1), F.size(totals) - 1))
-    shifted = F.zip_with(blocks, before, lambda b, c: F.transform(b, lambda x: x + c))
+    shifted = F.zip_with(blocks, before, lambda b, c: F.transform(b, lambda x: combine(c, x)))
     return F.when(F.size(steps) > 0, F.flatten(shifted)).otherwise(F.array().cast("array<bigint>"))
 
 
+def running_sums(steps: Column) -> Column:
+    return running(steps, lambda a, b: a + b)
+
+
+def running_greatest(steps: Column) -> Column:
+    """Of numbers that are not negative."""
+    return running(steps, lambda a, b: F.greatest(a, b))
+
+
 def join_keys(rows: DataFrame, keyed: DataFrame, key: str, count: str) -> DataFrame:
     """``rows`` with the columns of ``keyed``, which has every key once and its number of rows.
 

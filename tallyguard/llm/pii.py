@@ -124,13 +124,13 @@ def find(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by ``[KIND]``; null text stays null.
+    """``docs`` with the union of all spans in ``text`` replaced by ``[KIND]``; null text stays null.
 
-    Kinds are masked in their order, so of two overlapping spans the earlier kind's is masked
-    whole, and the other where it is still a match. ``n_chars``, where the table has it, follows.
+    Spans that overlap become one mask, of the kind that begins first, so nothing of any span is
+    left. ``n_chars``, where the table has it, follows.
     """
     columns = docs.columns
-    done = spans.masked(docs, text, kinds(), lambda k: f"[{k.name.upper()}]")
+    done = spans.masked(docs, text, kinds(), lambda kind: F.concat(F.lit("["), F.upper(kind), F.lit("]")))
     if "n_chars" in columns:
         changed = F.when(F.col(text).isNotNull(), F.length(text).cast(docs.schema["n_chars"].dataType))
         done = done.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))

@@ -13,9 +13,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import free_name, once, running_sums
+from tallyguard.llm.common import free_name, once, running_greatest, running_sums
 
 CONTEXT = 40
+# Code points of a block in which places of a long text are looked up.
+PIECE = 4096
 
 
 @dataclass(frozen=True)
@@ -77,23 +79,44 @@ def matches(df: DataFrame, text: str, kinds: list[Kind], out: str) -> DataFrame:
     return df.drop(*[f"{tmp}_{c}{i}" for c in "vge" for i in numbers])
 
 
-def masked(df: DataFrame, text: str, kinds: list[Kind], mask: Callable[[Kind], str]) -> DataFrame:
-    """Replace every valid match in ``text`` by its kind's mask, one kind after the other."""
+def masked(df: DataFrame, text: str, kinds: list[Kind], mask: Callable[[Column], Column]) -> DataFrame:
+    """Replace the union of all valid matches in ``text``: spans that overlap are one region, with
+    the mask of the kind that begins it (of several, the first listed)."""
     order = [F.col(f"`{c}`") for c in df.columns]
-    tmp = free_name(df, "_found")
-    values, gaps = F.col(f"{tmp}_v"), F.col(f"{tmp}_g")
-    for kind in kinds:
-        df = once(df, **{f"{tmp}_v": F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))})
-        df = once(df, **{f"{tmp}_g": F.when(F.size(values) > 0, F.split(text, kind.pattern, -1))})
-
-        def instead(v: Column, j: Column, kind: Kind = kind) -> Column:
-            before = F.lower(F.right(F.get(gaps, j), F.lit(CONTEXT)))
-            after = F.lower(F.left(F.get(gaps, j + 1), F.lit(CONTEXT)))
-            return F.concat(F.get(gaps, j), F.when(kind.valid(v, before, after), F.lit(mask(kind))).otherwise(v))
-
-        joined = F.concat(F.array_join(F.transform(values, lambda v, j: instead(v, j)), ""), F.element_at(gaps, -1))
-        df = once(df, **{text: F.when(F.size(values) > 0, joined).otherwise(F.col(text))}).select(*order)
-    return df
+    tmp = free_name(df, "_region")
+    found, most, regions, blocks = (f"{tmp}{i}" for i in range(4))
+    df = matches(df, text, kinds, found)
+    ends = F.transform(F.coalesce(found, F.array().cast(df.schema[found].dataType)), lambda s: s["end"])
+    df = once(df, **{most: running_greatest(ends)})
+
+    def begins(s: Column, i: Column) -> Column:
+        """Whether no span before reaches into this one."""
+        return (i == 0) | (s["start"] >= F.get(most, i - 1))
+
+    def closes(i: Column) -> Column:
+        following = F.get(found, i + 1)
+        return following.isNull() | (following["start"] >= F.get(most, i))
+
+    starts = F.filter(found, begins)
+    stops = F.filter(F.transform(most, lambda m, i: F.when(closes(i), m)), lambda m: m.isNotNull())
+    pairs = F.zip_with(starts, stops, lambda s, e: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), e.alias("end")))
+    df = once(df, **{regions: pairs})
+    # The text in blocks, since finding a place in a long text walks to it.
+    any_found = F.size(regions) > 0
+    df = once(df, **{blocks: F.when(any_found, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))})
+
+    def between(a: Column, b: Column) -> Column:
+        first = F.floor(a / PIECE).cast("int")
+        near = F.array_join(F.slice(blocks, first + 1, F.floor(b / PIECE).cast("int") - first + 1), "")
+        return F.substring(near, (a % PIECE + 1).cast("int"), (b - a).cast("int"))
+
+    def piece(r: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(regions, i - 1)["end"], F.lit(0).cast("bigint"))
+        return F.concat(between(before, r["start"]), mask(r["kind"]))
+
+    rest = between(F.element_at(regions, -1)["end"], F.length(text).cast("bigint"))
+    joined = F.concat(F.array_join(F.transform(regions, piece), ""), rest)
+    return once(df, **{text: F.when(any_found, joined).otherwise(F.col(text))}).select(*order)
 
 
 def digest_text(spans: Column, names: list[str] | None = None) -> Column:

@@ -1,7 +1,9 @@
 """Personal data, secrets and URLs beside plain Python."""
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 import pytest
 from llm_tables import SF_DIR, empty, odd, texts  # noqa: F401
@@ -194,3 +196,70 @@ def test_pairs_of_a_long_string_are_counted(spark):
     model = secrets.train(strings)
     expected = secrets.model_of([(True, "^a", 1), (True, "ab", 200_000), (True, "ba", 199_999), (False, "^a", 1)])
     assert model == expected
+
+
+def test_redaction_leaves_no_part_of_a_span(spark):
+    """Overlapping spans are masked as one, in short texts and far into long ones."""
+    iban, far = "GB40 WEST 6217 6212 0352 68", "é word " * 3000
+    rows = [
+        (1, f"account {iban} end"), (2, f"{far}{iban}, mail a@b.example.com and 10.0.0.1{far}"), (3, None), (4, "nothing"),
+        (5, "mail x@4111.1111 4111 1111 1111 1111"), (6, f"{iban}"),
+    ]
+    out = {r["doc_id"]: r["text"] for r in pii.redact(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert out[1] == "account [IBAN] end" and out[3] is None and out[4] == "nothing" and out[6] == "[IBAN]"
+    assert out[2] == f"{far}[IBAN], mail [EMAIL] and [IP]{far}"
+    found = pii.find(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    for r in found:
+        text, covered = r["text"] or "", set()
+        for s in r["pii"]:
+            covered.update(range(s["start"], s["end"]))
+        left = "".join(c for i, c in enumerate(text) if i not in covered)
+        assert re.sub(r"\[(EMAIL|IP|CARD|PHONE|IBAN|SSN)\]", "", out[r["doc_id"]] or "") == left
+
+
+@pytest.mark.parametrize("accepted", [True, False])
+def test_urls_of_one_class_decide_nothing(spark, accepted):
+    labelled = spark.createDataFrame([(f"http://a.org/{i}", accepted) for i in range(9)], "url string, accepted boolean")
+    model = urls.train(labelled)
+    asked = spark.createDataFrame([("http://a.org/1",), ("https://news.org/a",), (None,), ("",)], "url string")
+    assert {(r["verdict"], r["score"]) for r in urls.judge(asked, [], model).collect()} == {("allow", 0.0)}
+
+
+def test_url_model_beside_plain_python(spark):
+    """The ratios and the scores, and a calibrated threshold on a small table."""
+    rows = [(f"http://shop.com/{w}", True) for w in ("list", "items", "item", "cart", "help", "about", "terms")]
+    rows += [(f"http://xxx.biz/{w}", False) for w in ("zzq", "qzz", "zqz", "qqz")]
+    model = urls.train(spark.createDataFrame(rows, "url string, accepted boolean"))
+    places = {c: i for i, c in enumerate(urls.ALPHABET)}
+
+    def chances(flag):
+        counts = Counter()
+        for url, a in rows:
+            if a == flag:
+                plain = "^^" + url
+                counts.update(zip(plain, plain[1:], plain[2:]))
+
+        def chance(ctx, c):
+            if ctx is None:
+                return 1 / urls.SIZE
+            low = chance(ctx[1:] if ctx else None, c)
+            order = Counter()
+            for t, n in counts.items():
+                if not ctx or t[2 - len(ctx) : 2] == tuple(ctx):
+                    order[t[2]] += n
+            total, kinds = sum(order.values()), len(order)
+            return low if not total else (order[c] + kinds * low) / (total + kinds)
+
+        return chance
+
+    yes, no = chances(True), chances(False)
+
+    def score(url):
+        plain = "^^" + url
+        terms = [math.log(yes(plain[i - 2 : i], plain[i]) / no(plain[i - 2 : i], plain[i])) for i in range(2, len(plain))]
+        return sum(terms) / len(terms)
+
+    assert all(c in places for url, _ in rows for c in url)
+    judged = urls.judge(spark.createDataFrame(rows, "url string, accepted boolean"), [], model).collect()
+    assert max(abs(r["score"] - score(r["url"])) for r in judged) < 2e-3
+    assert all((r["verdict"] == "allow") == r["accepted"] for r in judged)
