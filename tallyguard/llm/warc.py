@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import join_keys, stored
+from tallyguard.llm.common import join_keys, once, stored
 from tallyguard.sinks.shared import shared_folder
 
 VERSION, CRLF, END = "WARC/1.1", "\r\n", "\r\n\r\n"
@@ -49,17 +49,18 @@ def base32_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _digest_column(payload: Column) -> Column:
-    """SHA-1 in base32: each of its 32 groups of five bits as a character."""
-    bits = F.lpad(F.conv(F.substring(F.sha1(payload), 1, 10), 16, 2), 40, "0")
-    for at in (11, 21, 31):
-        bits = F.concat(bits, F.lpad(F.conv(F.substring(F.sha1(payload), at, 10), 16, 2), 40, "0"))
+def _with_digest(captures: DataFrame) -> DataFrame:
+    """``digest``, the payload's SHA-1 in base32: each of its 32 groups of five bits as a character."""
+    out = once(captures, sha=F.sha1(F.col("payload").cast("binary")))
+    parts = [F.lpad(F.conv(F.substring("sha", at, 10), 16, 2), 40, "0") for at in (1, 11, 21, 31)]
+    out = once(out, bits=F.concat(*parts))
     letters = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
     def letter(i: Column) -> Column:
-        return F.substring(letters, F.conv(F.substring(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1))
+        return F.substring(letters, F.conv(F.substring("bits", i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1))
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), letter), "")
+    out = once(out, digest=F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), letter), ""))
+    return out.drop("sha", "bits")
 
 
 def planned(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
@@ -102,7 +103,7 @@ def records(captures: DataFrame) -> DataFrame:
     first = _urn(RESPONSE)
     date = ("WARC-Date", F.lit(WRITTEN))
     digest = F.concat(F.lit("sha1:"), F.col("digest"))
-    named = captures.withColumn("digest", _digest_column(F.col("payload").cast("binary")))
+    named = _with_digest(captures)
     main = _record(
         [
             ("WARC-Type", F.when(revisits, REVISIT).otherwise(RESPONSE)),
