@@ -94,6 +94,8 @@ class JobConfig:
     max_offsets: int | None = None
     max_files: int | None = None
     restart_delay_seconds: int = 30
+    # Seconds without a row after which a topic no longer holds the watermark back.
+    idle_seconds: int = 30
 
     @classmethod
     def from_env(cls, group_id: str, env: dict[str, str] | None = None, **overrides) -> "JobConfig":
@@ -117,5 +119,6 @@ class JobConfig:
             shuffle_partitions=int(env["STATE_PARTITIONS"]) if env.get("STATE_PARTITIONS") else None,
             max_offsets=int(env["MAX_OFFSETS_PER_TRIGGER"]) if env.get("MAX_OFFSETS_PER_TRIGGER") else None,
             max_files=int(env["MAX_FILES_PER_TRIGGER"]) if env.get("MAX_FILES_PER_TRIGGER") else None,
+            idle_seconds=int(env.get("IDLE_SECONDS") or 30),
         )
         return cls(**{**values, **overrides})

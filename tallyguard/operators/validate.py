@@ -101,6 +101,11 @@ def _ill_formed() -> Column:
     return F.exists(REASONS, of_form)
 
 
+def unchecked_events(raw: DataFrame, topic: str) -> DataFrame:
+    """Events that meet the contract, without a stop or a count for the others: for a second reading."""
+    return _as_events(with_reasons(raw, topic).filter(F.size(REASONS) == 0), topic)
+
+
 def valid_events(raw: DataFrame, topic: str, strict: bool = True, extra: bool = False) -> DataFrame:
     """Events that meet the contract, in the one wide form.
 

@@ -30,3 +30,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tallyguard-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of scratch data wherever Spark can write."""
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(settings).delete(path, True)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.operators.validate import union_events, valid_events
+from tallyguard.streaming.silence import times_metric
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -17,6 +22,8 @@ def state_settings(shuffle_partitions: int | str) -> dict[str, str]:
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        # Of several inputs the slowest one decides; silent ones are moved on by beats.
+        "spark.sql.streaming.multipleWatermarkPolicy": "min",
     }
 
 
@@ -29,15 +36,39 @@ def state_session(spark: SparkSession, shuffle_partitions: int | None = None) ->
     return session
 
 
+@dataclass(frozen=True)
+class Input:
+    """One topic's valid events, and beats (``event_time_ms``): times it is taken to have reached in silence."""
+
+    events: DataFrame
+    beats: DataFrame | None = None
+
+
 def stream_events(raw: dict[str, DataFrame], strict: bool = True) -> DataFrame:
     """Valid events of all topics in one stream.
 
     The topics are united before the watermark: with one watermark an idle topic does
-    not hold the others back.
+    not hold the others back, and one that lags by more than the delay loses rows.
     """
     return union_events(*[valid_events(stream, topic, strict) for topic, stream in raw.items()])
 
 
+def topic_inputs(
+    raw: dict[str, DataFrame], strict: bool = True, beats: dict[str, DataFrame] | None = None
+) -> list[Input]:
+    """Valid events per topic, each to have a watermark of its own; the slowest topic decides.
+
+    The newest event time of a micro-batch is reported per topic, from which ``IdleWatch``
+    writes the beats of silent topics.
+    """
+    inputs = []
+    for topic, stream in raw.items():
+        events = valid_events(stream, topic, strict)
+        timed = events.observe(times_metric(topic), F.max("event_time_ms").alias("newest_ms"))
+        inputs.append(Input(timed, (beats or {}).get(topic)))
+    return inputs
+
+
 def _distinct(batches):
     """Each Arrow batch without repeated rows."""
     for batch in batches:
@@ -47,11 +78,24 @@ def _distinct(batches):
         yield from table.to_batches()
 
 
+def _timed(facts: DataFrame, beats: DataFrame | None, delay_ms: int) -> DataFrame:
+    merged = facts.mapInArrow(_distinct, facts.schema)
+    if beats is not None:
+        merged = merged.unionByName(beats.select("event_time_ms"), allowMissingColumns=True)
+    timed = merged.withColumn("event_ts", F.timestamp_millis("event_time_ms"))
+    return timed.withWatermark("event_ts", f"{delay_ms} milliseconds")
+
+
 def distinct_facts(
-    facts: DataFrame, keys: list[str], disorder_ms: int, allowance_ms: int, by_event: bool = True
+    events: DataFrame | list[Input],
+    to_facts: Callable[[DataFrame], DataFrame],
+    keys: list[str],
+    disorder_ms: int,
+    allowance_ms: int,
+    by_event: bool = True,
 ) -> DataFrame:
     """Facts with an event-time column, one per (keys, ``event_id``) within the watermark,
-    or one per ``keys`` alone.
+    or one per ``keys`` alone. United events get one watermark, a list of inputs one each.
 
     Copies that arrive together are dropped per Arrow batch before the shuffle, so an
     event sent a million times does not end up in one task. The watermark trails the
@@ -59,9 +103,14 @@ def distinct_facts(
     watermark, while the rules still use rows that are late by up to the allowance.
     The state timers are shifted by the allowance in turn, so nothing is judged later.
     """
-    merged = facts.mapInArrow(_distinct, facts.schema)
-    delay = f"{disorder_ms + allowance_ms} milliseconds"
-    timed = merged.withColumn("event_ts", F.timestamp_millis("event_time_ms")).withWatermark("event_ts", delay)
+    inputs = [Input(events)] if isinstance(events, DataFrame) else events
+    parts = [_timed(to_facts(one.events), one.beats, disorder_ms + allowance_ms) for one in inputs]
+    timed = reduce(DataFrame.unionByName, parts)
+    if any(one.beats is not None for one in inputs):
+        # Beats end here. The condition reads the event time, since Spark would move any
+        # other below the watermark, which would then never see them.
+        limit = F.when(F.col("event_id").isNull(), F.lit(2**62)).otherwise(F.lit(-(2**62)))
+        timed = timed.filter(F.unix_millis("event_ts") >= limit)
     return timed.dropDuplicatesWithinWatermark([*keys, "event_id"] if by_event else keys)
 
 

@@ -16,7 +16,7 @@ from tallyguard.config import OrderParams
 from tallyguard.contracts import MONEY
 from tallyguard.operators.order_rules import order_alerts, order_facts
 from tallyguard.streaming.facts import ORDER_CHANGE_SCHEMA, OrderFact
-from tallyguard.streaming.intake import distinct_facts, with_late_count
+from tallyguard.streaming.intake import Input, distinct_facts, with_late_count
 
 CHANGES = T.StructType(
     [T.StructField("order_id", T.LongType()), T.StructField("change", T.StringType())]
@@ -163,7 +163,7 @@ def immutable_changes(facts: DataFrame) -> DataFrame:
 
 
 def stream_snapshots(
-    events: DataFrame,
+    events: DataFrame | list[Input],
     params: OrderParams = OrderParams(),
     allowance_ms: int | None = None,
     immutable_facts: bool = False,
@@ -178,10 +178,10 @@ def stream_snapshots(
     if immutable_facts:
         keys = ["order_id", "fact", "fact_id"]
         changes = immutable_changes(
-            distinct_facts(order_facts(events), keys, params.disorder_ms, allowance, by_event=False)
+            distinct_facts(events, order_facts, keys, params.disorder_ms, allowance, by_event=False)
         )
     else:
-        facts = distinct_facts(order_facts(events), ["order_id"], params.disorder_ms, allowance)
+        facts = distinct_facts(events, order_facts, ["order_id"], params.disorder_ms, allowance)
         changes = versioned_changes(facts, params, allowance)
     merged = changes.select(*CHANGES.names).mapInArrow(merge_details, CHANGES)
     return merged.groupBy("order_id").transformWithState(
@@ -190,7 +190,7 @@ def stream_snapshots(
 
 
 def stream_order_alerts(
-    events: DataFrame,
+    events: DataFrame | list[Input],
     params: OrderParams = OrderParams(),
     allowance_ms: int | None = None,
     immutable_facts: bool = False,

@@ -15,17 +15,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyguard import contracts as C
-from tallyguard.config import JobConfig
+from tallyguard.config import JobConfig, OrderParams, UserParams
 from tallyguard.functions.lines import order_line, user_line
 from tallyguard.operators.checks import broken_checks, order_alert_checks, user_alert_checks
 from tallyguard.operators.validate import quarantined
 from tallyguard.sinks.alert_log import append_batch, read_log, run_of
 from tallyguard.sinks.jdbc import merge_batch
-from tallyguard.sinks.shared import job_folder
+from tallyguard.sinks.shared import job_folder, remove_folder
 from tallyguard.sources.files import stream_lines, topic_files
 from tallyguard.sources.kafka import stream_topic
-from tallyguard.streaming.intake import state_session, stream_events
+from tallyguard.streaming.intake import state_session, stream_events, topic_inputs
+from tallyguard.streaming.late import ALERT, LATE, beside_alerts, late_only
 from tallyguard.streaming.order_stream import stream_order_alerts
+from tallyguard.streaming.silence import IdleWatch, beat_folders, beat_streams
 from tallyguard.streaming.user_stream import stream_user_alerts
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -47,6 +49,7 @@ JOBS = {
         user_line,
     ),
 }
+DEFAULT_PARAMS = {C.ORDER_JOB: OrderParams(), C.USER_JOB: UserParams()}
 
 
 def accepted(alerts: DataFrame, checks: dict[str, Column]) -> DataFrame:
@@ -77,8 +80,50 @@ def _print_rows(rows) -> None:
         print(row["line"])
 
 
+def staged_writer(
+    write: BatchWriter,
+    checkpoint: str,
+    retries: int,
+    late_path: str | None = None,
+    allowance_ms: int = 0,
+    delay_seconds: float = 1.0,
+) -> BatchWriter:
+    """Evaluate a batch once into a folder beside the checkpoint and write from there.
+
+    Only the writing is repeated after a failure, never the stateful plan. A folder without
+    Spark's success marker belongs to a driver that died and is written again. With
+    ``late_path`` the batch carries late events as well, which go to a folder per batch there.
+    """
+
+    def stage(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        folder = f"{checkpoint.rstrip('/')}-staged/batch={batch_id}"
+        rows = late_only(batch, checkpoint, batch_id, allowance_ms) if late_path else batch
+        rows.write.mode("overwrite").parquet(folder)
+        staged = spark.read.schema(rows.schema).parquet(folder)
+
+        def deliver(staged: DataFrame, batch_id: int) -> None:
+            if late_path:
+                events = staged.filter(F.col(LATE).isNotNull()).select(f"{LATE}.*", "dropped")
+                place = f"{late_path.rstrip('/')}/run={run_of(spark, checkpoint)}/batch={batch_id}"
+                events.write.mode("overwrite").json(place)
+                staged = staged.filter(F.col(ALERT).isNotNull()).select(f"{ALERT}.*")
+            write(staged, batch_id)
+
+        with_retries(deliver, retries, delay_seconds)(staged, batch_id)
+        remove_folder(spark, folder)
+
+    return stage
+
+
 def batch_writer(
-    job: str, config: JobConfig, alert_path: str | None, checkpoint: str, console: bool = False
+    job: str,
+    config: JobConfig,
+    alert_path: str | None,
+    checkpoint: str,
+    console: bool = False,
+    late_path: str | None = None,
+    allowance_ms: int = 0,
 ) -> BatchWriter:
     """Write a batch to the alert log, if a path is given, else merge it into the job's table."""
     _, _, table, checks, line = JOBS[job]
@@ -95,7 +140,7 @@ def batch_writer(
         else:
             merge_batch(rows, config, table, run, batch_id)
 
-    return with_retries(write, config.sink_retries)
+    return staged_writer(write, checkpoint, config.sink_retries, late_path, allowance_ms)
 
 
 def raw_streams(
@@ -119,18 +164,40 @@ def start_job(
     available_now: bool = False,
     max_files: int | None = None,
     strict: bool = True,
+    late_path: str | None = None,
+    watermark_per_topic: bool | None = None,
     **rule_options,
 ) -> StreamingQuery:
-    """Start one job in a session of its own; progress lives in the job's own checkpoint."""
+    """Start one job in a session of its own; progress lives in the job's own checkpoint.
+
+    Each topic has its own watermark, and a topic that is silent for ``config.idle_seconds`` no
+    longer holds the others back. A run over what is there (``available_now``) cannot wait for
+    silence and has one watermark over all topics, unless ``watermark_per_topic`` says otherwise.
+    A checkpoint keeps the form it was begun with.
+    """
     session = state_session(spark, config.shuffle_partitions)
     rules = JOBS[job][1]
-    alerts = rules(stream_events(raw_streams(session, job, config, lines_path, max_files), strict), **rule_options)
+    raw = raw_streams(session, job, config, lines_path, max_files)
     checkpoint = config.checkpoint_dir or job_folder(spark, job)
+    if watermark_per_topic is None:
+        watermark_per_topic = not available_now
+    if watermark_per_topic:
+        folders = beat_folders(session, checkpoint, list(raw))
+        events = topic_inputs(raw, strict, beat_streams(session, folders))
+        session.streams.addListener(IdleWatch(session, job, folders, config.idle_seconds))
+    else:
+        events = stream_events(raw, strict)
+    out = rules(events, **rule_options)
+    allowance_ms = rule_options.get("allowance_ms")
+    if allowance_ms is None:
+        allowance_ms = (rule_options.get("params") or DEFAULT_PARAMS[job]).ttl_ms
+    if late_path:
+        out = beside_alerts(out, raw)
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{config.trigger_seconds} seconds"}
     return (
-        alerts.writeStream.queryName(job)
+        out.writeStream.queryName(job)
         .outputMode("append")
-        .foreachBatch(batch_writer(job, config, alert_path, checkpoint, console))
+        .foreachBatch(batch_writer(job, config, alert_path, checkpoint, console, late_path, allowance_ms))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -181,6 +248,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--alerts", help="folder of the alert log; without it alerts go to MySQL")
     parser.add_argument("--lines", help="folder with JSON lines per topic instead of Kafka")
     parser.add_argument("--quarantine", help="keep invalid texts in this folder; malformed ones no longer stop the job")
+    parser.add_argument("--late", help="keep late events in this folder, with a mark on those the rules could not use")
     parser.add_argument("--console", action="store_true", help="also print each alert in one line")
     parser.add_argument(
         "--immutable-facts", action="store_true", help="order-risk only: the producer never sends second versions"
@@ -207,6 +275,7 @@ def main(arguments: list[str] | None = None) -> None:
             options.console,
             options.available_now,
             strict=not options.quarantine,
+            late_path=options.late,
             **rule_options,
         )
 

@@ -13,7 +13,7 @@ from tallyguard.config import UserParams
 from tallyguard.contracts import CODE_FAILURE, CODE_UNPAID
 from tallyguard.operators.user_rules import user_alerts, user_facts
 from tallyguard.streaming.facts import USER_CHANGE_SCHEMA, UserFact
-from tallyguard.streaming.intake import distinct_facts, sum_per_batch, with_late_count
+from tallyguard.streaming.intake import Input, distinct_facts, sum_per_batch, with_late_count
 
 PLACE = ["user_id", "code", "first_slot", "slots"]
 PLACE_SCHEMA = "user_id bigint, code string, first_slot bigint, slots bigint, number bigint"
@@ -120,10 +120,10 @@ class UserJudge(StatefulProcessor):
         self._store(places, judged, free, None, watermark)
 
 
-def stream_picked_windows(events: DataFrame, params: UserParams, allowance_ms: int | None = None) -> DataFrame:
+def stream_picked_windows(events: DataFrame | list[Input], params: UserParams, allowance_ms: int | None = None) -> DataFrame:
     """Windows that raise an alert, as they are judged in event time."""
     allowance = params.ttl_ms if allowance_ms is None else allowance_ms
-    facts = distinct_facts(user_facts(events), ["user_id"], params.disorder_ms, allowance)
+    facts = distinct_facts(events, user_facts, ["user_id"], params.disorder_ms, allowance)
     changes = facts.groupBy("user_id", "code", "fact_id").transformWithState(
         UserFact(params, allowance), USER_CHANGE_SCHEMA, "append", "eventTime", eventTimeColumnName="event_ts"
     )
@@ -141,6 +141,6 @@ def stream_picked_windows(events: DataFrame, params: UserParams, allowance_ms: i
 
 
 def stream_user_alerts(
-    events: DataFrame, params: UserParams = UserParams(), allowance_ms: int | None = None
+    events: DataFrame | list[Input], params: UserParams = UserParams(), allowance_ms: int | None = None
 ) -> DataFrame:
     return user_alerts(stream_picked_windows(events, params, allowance_ms), params)

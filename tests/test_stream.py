@@ -324,3 +324,119 @@ def test_bad_alert_is_refused(spark):
     assert run.accepted(good, order_alert_checks()).count() == 2
     with pytest.raises(Exception, match="detail_count"):
         run.accepted(good.withColumn("detail_count", -good.detail_count - 1), order_alert_checks()).collect()
+
+
+def feed_files(folder, topic, *files):
+    for number, rows in enumerate(files):
+        with open(f"{folder}/in/{topic}/.{number}", "w") as out:
+            out.write("\n".join(json.dumps(r) for r in rows) + "\n")
+        os.rename(f"{folder}/in/{topic}/.{number}", f"{folder}/in/{topic}/{number}.json")
+        os.utime(f"{folder}/in/{topic}/{number}.json", (1_700_000_000 + number,) * 2)
+
+
+def running_job(spark, job, idle_seconds, **options):
+    """A job that keeps running, a file of each topic per micro-batch, with a watermark per topic."""
+    made = Job(spark, job)
+    made.config = JobConfig(
+        job, f"{made.folder}/checkpoint", None, None, None, None, shuffle_partitions=2, sink_retries=0,
+        trigger_seconds=0, idle_seconds=idle_seconds,
+    )
+
+    def start():
+        return run.start_job(
+            spark, job, made.config, f"{made.folder}/alerts", f"{made.folder}/in", max_files=1, **options
+        )
+
+    return made, start
+
+
+def test_topic_that_lags_three_hours_loses_no_row(spark):
+    hour = 3600
+    job, start = running_job(spark, C.ORDER_JOB, 3600)
+    # Payments run ahead by three hours; orders and lines of the first payments come batches later.
+    paid = [[payment(i, i, 1, 5.0, clock(i * hour + 60))] for i in range(4)]
+    feed_files(job.folder, C.PAYMENT_TOPIC, *paid, [closing()])
+    lagging = [[order(9, 9, 1.0, clock(0))]] * 4 + [[order(i, 1, 5.0, clock(i * hour))] for i in range(4)]
+    feed_files(job.folder, C.ORDER_TOPIC, *lagging, [order(10, 9, 1.0, clock(40_000))])
+    lines_of = [[detail(i, i, 5.0 if i else 4.0, clock(i * hour + 1))] for i in range(4)]
+    feed_files(job.folder, C.DETAIL_TOPIC, *[[detail(90, 9, 1.0, clock(0))]] * 5, *lines_of, [detail(91, 9, 1.0, clock(40_000))])
+    query = start()
+    query.processAllAvailable()
+    query.stop()
+    # With one watermark the late orders would be missing; only the line of order 0 is wrong.
+    assert [(r.order_id, r.risk_item) for r in job.alerts()] == [(0, "明细金额不一致")]
+    assert sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]) == 0
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) >= 5
+
+
+def test_silent_topics_hold_nothing_back(spark):
+    import time
+
+    job, start = running_job(spark, C.ORDER_JOB, 2)
+    feed_files(job.folder, C.PAYMENT_TOPIC, [payment(1, 1, 1, 5.0, clock(0))], [closing()])
+    query = start()
+    # Orders and lines never come: at first nothing is judged, then the silence is noticed.
+    until = time.time() + 90
+    while time.time() < until and not (os.path.exists(f"{job.folder}/alerts") and job.written()):
+        time.sleep(1)
+    query.stop()
+    assert {(r.order_id, r.risk_item) for r in job.alerts()} == {(1, "订单不存在")}
+
+
+def test_silence():
+    from tallyguard.streaming.silence import Silence
+
+    quiet = Silence(["a", "b", "c"], 30, now=0)
+    assert quiet.beats(100) == {}
+    quiet.saw("a", 5000, 100)
+    # b and c are silent since the start; a is not.
+    assert quiet.beats(101) == {"b": 5000, "c": 5000} and quiet.beats(102) == {}
+    quiet.saw("b", 3000, 110)
+    quiet.saw("a", 9000, 120)
+    # b is back and slower: c waits for it, and has been further before.
+    assert quiet.beats(121) == {}
+    # Only c and b silent: a decides. All silent: the newest event does.
+    assert quiet.beats(145) == {"b": 9000, "c": 9000}
+    quiet.saw("b", 12_000, 146)
+    assert quiet.beats(160) == {"a": 12_000, "c": 12_000}
+    assert quiet.beats(1000) == {}
+
+
+@pytest.mark.parametrize("immutable", [False, True])
+def test_late_events_are_counted_and_kept(spark, immutable):
+    job = Job(spark, C.ORDER_JOB)
+    job.rule_options = {"immutable_facts": immutable, "late_path": f"{job.folder}/late"}
+    job.feed(payment(1, 1, 1, 5.0, clock(0)), order(1, 1, 5.0, clock(0)))
+    job.feed(payment(50, 50, 1, 5.0, clock(18_000), ok=False))
+    job.feed(payment(51, 51, 1, 5.0, clock(18_001), ok=False))
+    # Five hours late: refused. One hour late: used. One in time.
+    job.feed(order(2, 1, 5.0, clock(1)), payment(3, 3, 1, 5.0, clock(14_400)), order(4, 1, 1.0, clock(18_002)))
+    job.feed(closing())
+    kept = spark.read.json(f"{job.folder}/late").collect()
+    assert {(r.event_id, r.dropped) for r in kept} == {("o:2", True), ("p:3", False)}
+    dropped = sum(op["numRowsDroppedByWatermark"] for p in job.progress for op in p["stateOperators"])
+    assert dropped == 1
+    assert {(r.order_id, r.risk_item) for r in job.alerts()} >= {(3, "订单不存在")}
+    assert not any(name.startswith("batch=") for name in os.listdir(f"{job.folder}/checkpoint-staged"))
+
+
+def test_a_retry_writes_again_without_evaluating_again(spark):
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            evaluated.add(batch.num_rows)
+            yield batch
+
+    steps = []
+
+    def write(rows, batch_id):
+        steps.append(sorted(r.id for r in rows.collect()))
+        if len(steps) == 1:
+            raise RuntimeError("the table is away")
+
+    rows = spark.range(5).mapInArrow(counted, "id bigint")
+    run.staged_writer(write, f"{folder}/checkpoint", retries=1, delay_seconds=0)(rows, 7)
+    assert steps == [[0, 1, 2, 3, 4]] * 2 and evaluated.value == 5
+    assert os.listdir(f"{folder}/checkpoint-staged") == []
