@@ -12,13 +12,14 @@ labelled strings of one class only, leave that class with its prior; other colum
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyguard.llm import spans
-from tallyguard.llm.common import double_array, free_name, whole_text
+from tallyguard.llm.common import double_array, free_name, once, running_greatest, whole_text
 
 BASE_KINDS = ["assign", "access", "hex"]
 KEY = "(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
@@ -36,6 +37,8 @@ ALPHABET = "^abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=
 SIZE = len(ALPHABET)
 # Share of the uniform distribution in the random model, and the weight of the smoothing counts.
 UNIFORM, PSEUDO = 0.5, 0.5
+# Beyond any place in a text.
+FARTHEST = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -148,10 +151,24 @@ def find(docs: DataFrame, model: Model, text: str = "text", out: str = "secrets"
     """
     source = free_name(docs, "_whole")
     found = spans.matches(docs.withColumn(source, whole_text(text)), source, kinds(model), out).drop(source)
-    base = F.filter(out, lambda s: s["kind"] != "random")
+    reach, ahead = f"{source}_reach", f"{source}_ahead"
+    none, order = F.lit(0).cast("bigint"), [F.col(f"`{c}`") for c in found.columns]
+
+    def of_base(value: Callable[[Column], Column]) -> Column:
+        return F.transform(out, lambda s: F.when(s["kind"] != "random", value(s)).otherwise(none))
+
+    # Spans are sorted by start, base ones first. What the base spans up to a place reach, and
+    # the nearest start of one behind it, come from one pass each, so time grows with the spans.
+    found = once(
+        found,
+        **{
+            reach: running_greatest(of_base(lambda s: s["end"])),
+            ahead: F.reverse(running_greatest(F.reverse(of_base(lambda s: FARTHEST - s["start"])))),
+        },
+    )
     fresh = F.filter(
         out,
-        lambda s: (s["kind"] != "random")
-        | ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        lambda s, i: (s["kind"] != "random")
+        | ((F.get(reach, i) <= s["start"]) & (FARTHEST - F.get(ahead, i) >= s["end"])),
     )
-    return found.withColumn(out, fresh)
+    return once(found, **{out: fresh}).select(*order)

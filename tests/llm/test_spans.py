@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -263,3 +264,28 @@ def test_url_model_beside_plain_python(spark):
     judged = urls.judge(spark.createDataFrame(rows, "url string, accepted boolean"), [], model).collect()
     assert max(abs(r["score"] - score(r["url"])) for r in judged) < 2e-3
     assert all((r["verdict"] == "allow") == r["accepted"] for r in judged)
+
+
+def test_random_runs_beside_base_spans(spark):
+    # Random runs before, after, inside and across base spans, and many in one text.
+    draw = random.Random(11)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    token = lambda n: "".join(draw.choice(signs) for _ in range(n))
+    parts = []
+    for _ in range(300):
+        kind = draw.randrange(5)
+        parts.append([
+            token(24), f"password={token(30)}", f"{token(22)}+token: {token(8)}", f"AKIA{token(20).upper()}/{token(25)}",
+            f"{''.join(draw.choice('0123456789abcdef') for _ in range(26))}{token(22)}",
+        ][kind])
+    texts = [" ".join(parts), " ".join(parts[:7]), "", None, token(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    model = secrets.train(secrets.labelled_strings(docs))
+    got = {r["doc_id"]: r["secrets"] for r in secrets.find(docs, model).collect()}
+    source = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    every = {r["doc_id"]: r["s"] for r in spans.matches(source, "text", secrets.kinds(model), "s").collect()}
+    for key, all_spans in every.items():
+        base = [s for s in all_spans if s["kind"] != "random"]
+        clear = lambda s: not any(b["start"] < s["end"] and s["start"] < b["end"] for b in base)  # noqa: E731,B023
+        assert got[key] == [s for s in all_spans if s["kind"] != "random" or clear(s)]
+    assert any(s["kind"] == "random" for s in got[0]) and len(got[0]) < len(every[0])
