@@ -1,6 +1,6 @@
 """Toxicity: cumulative-link ordinal regression on sparse text features gives an expected severity.
 
-Features are words that separate toxic from clean labelled documents; a feature's value grows with
+Features are all words that separate toxic from clean labelled documents; a feature's value grows with
 the logarithm of its count. One weight vector is shared by ordered thresholds: the chance of grade
 g or less is the logistic function of threshold g less the weighted sum. Grades: 0 is clean, 1 to 3
 are toxic documents by how dense the telling words are. The expected severity is the sum of the
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_LABELLED = 20_000
-MAX_FEATURES = 8192
 # A feature occurs in this many labelled documents at least, multiplies the odds by this much, and
 # less than so many features would look as telling by chance.
 MIN_DOCUMENTS, MIN_ODDS, BY_CHANCE = 3, 3.0, 0.05
@@ -125,8 +124,8 @@ def _features(sample: DataFrame, totals: dict[int, int], weight: dict[int, float
     ratio = ratio + F.when(b > 0, b * F.log(b / (a + b) / (1 - base))).otherwise(0.0)
     scored = sums.select("w", odds.alias("odds"), ratio.alias("x"))
     strong = (F.abs("odds") >= math.log(MIN_ODDS)) & (F.col("x") >= math.log(max(tests, 1) / BY_CHANCE))
-    best = scored.filter(strong).orderBy(F.desc("x"), "w")
-    return {r["w"]: r["odds"] for r in best.limit(MAX_FEATURES).collect()}
+    # Bounded by the sample's words.
+    return {r["w"]: r["odds"] for r in scored.filter(strong).select("w", "odds").collect()}
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
