@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from decimal import Decimal
 
 import pyarrow as pa
 import pytest
@@ -9,7 +10,8 @@ from conftest import detail, order, payment
 from test_stream import Job, batch_ids, clock, closing
 
 from tallyguard import contracts as C
-from tallyguard.config import UserParams, WindowRule
+from tallyguard.config import OrderParams, UserParams, WindowRule
+from tallyguard.streaming.order_stream import OrderJudge
 from tallyguard.streaming.slices import SLICES, event_ts, from_bytes, slice_numbers, to_bytes
 from tallyguard.streaming.user_stream import FREE, PLACE, UserJudge
 
@@ -163,6 +165,53 @@ def test_released_state_leaves_nothing():
     assert fired == 2 and handle.value.value is None
 
 
+def changes(*rows):
+    """Rows (order, change, fact, amount, number, time); the event time is the time."""
+    names = ["order_id", "change", "fact_id", "amount", "number", "time_ms"]
+    columns = dict(zip(names, (list(c) for c in zip(*rows))))
+    money, long = pa.decimal128(20, 2), pa.int64()
+    types = [long, pa.string(), long, money, long, long]
+    table = pa.table({n: pa.array(columns[n], t) for n, t in zip(names, types)})
+    for name in ("user_id", "shop_id", "event_time_ms"):
+        table = table.append_column(name, table["time_ms"])
+    return table
+
+
+def test_orders_of_a_slice_are_judged_apart():
+    params = OrderParams(wait_ms=10, ttl_ms=100, disorder_ms=0)
+    judge, handle = OrderJudge(params, 100), Handle()
+    judge.init(handle)
+    one, two = Decimal("1.00"), Decimal("2.00")
+
+    def fire(watermark):
+        found = []
+        for at in sorted(t for t in handle.timers if t <= watermark):
+            for row in judge.handleExpiredTimer((0,), At(watermark), At(at)):
+                found += from_bytes(row.rows).to_pylist()
+            handle.timers.discard(at)
+        assert len(handle.timers) <= 1
+        keys = ("order_id", "payment_id", "order_amount", "detail_amount", "detail_count", "payment_amount")
+        return [tuple(r[k] for k in keys) for r in found]
+
+    def feed(watermark, *rows):
+        list(judge.handleInputRows((0,), iter([Rows(changes(*rows))]), At(watermark)))
+        return fire(watermark)
+
+    first = [(1, "order", 0, two, 1, 1000), (1, "detail", 7, one, 1, 1001), (1, "success", 5, one, 0, 1005)]
+    other = [(1, "success", 4, two, 0, 1006), (2, "success", 9, one, 0, 1000), (3, "success", 6, one, 0, 1000)]
+    assert feed(0, *first, *other) == []
+    # Lines add up over batches; order 3's success is revoked, order 2 has neither order nor lines.
+    assert feed(905, (1, "detail", 8, one, 1, 1002), (3, "revoked", 6, one, 0, 1007)) == []
+    assert fire(915) == [(1, 5, two, Decimal("2.00"), 2, one), (2, 9, None, Decimal("0.00"), 0, one)]
+    # A second success of a judged order raises nothing; order 3 may still be paid.
+    assert feed(920, (1, "success", 12, two, 0, 1030), (3, "success", 6, two, 0, 1031)) == []
+    assert fire(941) == [(3, 6, None, Decimal("0.00"), 0, two)]
+    # Order 1 lives until 1030 + 100 - 100, and nothing stays after the last one.
+    assert set(from_bytes(handle.value.value[1])["order_id"].to_pylist()) == {1, 2, 3}
+    assert fire(1000) == [] and set(from_bytes(handle.value.value[1])["order_id"].to_pylist()) == {1, 3}
+    assert fire(1031) == [] and handle.value.value is None and not handle.timers
+
+
 def test_keys_spread_over_slices():
     import numpy as np
 
