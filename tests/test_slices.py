@@ -12,8 +12,8 @@ from test_stream import Job, batch_ids, clock, closing
 from tallyguard import contracts as C
 from tallyguard.config import OrderParams, UserParams, WindowRule
 from tallyguard.streaming.order_stream import OrderJudge
-from tallyguard.streaming.slices import SLICES, event_ts, from_bytes, slice_numbers, to_bytes
-from tallyguard.streaming.user_stream import FREE, PLACE, UserJudge
+from tallyguard.streaming.slices import SLICES, dealer, event_ts, from_bytes, slice_numbers, to_bytes
+from tallyguard.streaming.user_stream import FREE, PLACE, UserJudge, merged_places
 
 KEYS = 4500
 
@@ -212,6 +212,15 @@ def test_orders_of_a_slice_are_judged_apart():
     assert fire(1031) == [] and handle.value.value is None and not handle.timers
 
 
+def test_a_hot_user_reaches_the_judge_as_few_rows():
+    rows = [(1, 1, slot % 20, 18, 1) for slot in range(60_000)] + [(2, 1, 5, 18, n) for n in (1, -1)]
+    packed = pa.RecordBatch.from_pydict({"rows": [to_bytes(place_table(rows))]})
+    dealt = list(dealer(["user_id"], SLICES, merged_places, packed=True)(iter([packed, packed])))
+    found = [from_bytes(row.as_buffer()) for batch in dealt for row in batch.column("rows")]
+    assert sum(table.num_rows for table in found) == 20
+    assert {n for table in found for n in table["number"].to_pylist()} == {6000}
+
+
 def test_keys_spread_over_slices():
     import numpy as np
 
