@@ -16,7 +16,7 @@ from tallyguard.config import OrderParams
 from tallyguard.contracts import MONEY
 from tallyguard.operators.order_rules import order_alerts, order_facts
 from tallyguard.streaming.facts import DETAIL, ORDER, PAYMENT, OrderFact
-from tallyguard.streaming.intake import Input, distinct_facts, with_late_count
+from tallyguard.streaming.intake import Input, distinct_facts, distinct_pieces, with_late_count
 from tallyguard.streaming.slices import (
     DEALT_SCHEMA,
     PIECE_SCHEMA,
@@ -191,12 +191,16 @@ class OrderJudge(SliceState):
         self._keep(pa.concat_tables([facts, marks]).combine_chunks(), None)
 
 
-def versioned_changes(facts: DataFrame, params: OrderParams, allowance_ms: int) -> DataFrame:
-    """What facts change, in bytes, where a later version of a fact replaces the earlier one."""
+def facts_by_kind(events: DataFrame) -> DataFrame:
+    """Facts with a number for what they are, which is shorter in state than its name."""
     kind = F.when(F.col("fact") == "order", ORDER).when(F.col("fact") == "detail", DETAIL).otherwise(PAYMENT)
-    rows = facts.select(F.col("order_id"), kind.cast("tinyint").alias("kind"), *FACT_COLUMNS)
+    return order_facts(events).withColumn("kind", kind.cast("tinyint"))
+
+
+def versioned_changes(facts: DataFrame, params: OrderParams, allowance_ms: int, packed: bool) -> DataFrame:
+    """What facts change, in bytes, where a later version of a fact replaces the earlier one."""
     changes = (
-        rows.mapInArrow(dealer(OrderFact.keys, SLICES), DEALT_SCHEMA)
+        facts.mapInArrow(dealer(OrderFact.keys, SLICES, packed=packed), DEALT_SCHEMA)
         .groupBy("slice")
         .transformWithState(
             OrderFact(params.ttl_ms, allowance_ms), PIECE_SCHEMA, "append", "eventTime", eventTimeColumnName="event_ts"
@@ -211,29 +215,50 @@ def immutable_changes(facts: DataFrame) -> DataFrame:
     return facts.withColumns({"change": change, "number": F.lit(1).cast("bigint")}).filter(change.isNotNull())
 
 
+def merged_immutable(table: pa.Table) -> pa.Table:
+    """The same for facts with their kind, added up per order."""
+    kind, success = numbers(table, "kind"), numbers(table, "success").astype(bool)
+    table = table.filter(pa.array((kind != PAYMENT) | success))
+    change = pa.DictionaryArray.from_arrays(table["kind"].combine_chunks(), ["order", "detail", "success"])
+    number = pa.array(np.ones(table.num_rows, np.int64))
+    changes = table.append_column("change", change.dictionary_decode()).append_column("number", number)
+    return merged_details(changes.select(CHANGES.names))
+
+
 def stream_snapshots(
     events: DataFrame | list[Input],
     params: OrderParams = OrderParams(),
     allowance_ms: int | None = None,
     immutable_facts: bool = False,
+    by_slice: bool = False,
 ) -> DataFrame:
     """Snapshots of paid orders as their wait ends in event time.
 
     ``immutable_facts`` is for producers that keep the contract's promise never to send
     a second version of an order, a line or a payment attempt: facts then need no state
     in Python. Late rows are used all the same but not counted.
+
+    ``by_slice`` finds duplicates by slice instead of by Spark's operator, for micro-batches that hold whole
+    tables. Late rows are then dropped by the present watermark, not by that of the micro-batch before.
     """
     allowance = params.ttl_ms if allowance_ms is None else allowance_ms
-    if immutable_facts:
+    columns, times = ["order_id", "kind", *FACT_COLUMNS], (params.disorder_ms, allowance)
+    merge, packed = merged_details, by_slice or not immutable_facts
+    if immutable_facts and by_slice:
+        columns.remove("event_id")
+        changes = distinct_pieces(events, facts_by_kind, ["kind", "order_id", "fact_id"], columns, *times)
+        merge = merged_immutable
+    elif immutable_facts:
         keys = ["order_id", "fact", "fact_id"]
-        facts = distinct_facts(events, order_facts, keys, params.disorder_ms, allowance, by_event=False)
+        facts = distinct_facts(events, order_facts, keys, *times, by_event=False)
         changes = immutable_changes(facts).select(*CHANGES.names)
     else:
-        facts = distinct_facts(events, order_facts, ["order_id"], params.disorder_ms, allowance)
-        changes = versioned_changes(facts, params, allowance)
-    dealt = changes.mapInArrow(
-        dealer(["order_id"], SLICES, merged_details, packed=not immutable_facts), DEALT_SCHEMA
-    )
+        if by_slice:
+            facts = distinct_pieces(events, facts_by_kind, ["order_id", "event_id"], columns, *times)
+        else:
+            facts = distinct_facts(events, facts_by_kind, ["order_id"], *times).select(*columns)
+        changes = versioned_changes(facts, params, allowance, packed=by_slice)
+    dealt = changes.mapInArrow(dealer(["order_id"], SLICES, merge, packed=packed), DEALT_SCHEMA)
     snapshots = dealt.groupBy("slice").transformWithState(
         OrderJudge(params, allowance), "rows binary", "append", "eventTime"
     )
@@ -245,5 +270,6 @@ def stream_order_alerts(
     params: OrderParams = OrderParams(),
     allowance_ms: int | None = None,
     immutable_facts: bool = False,
+    by_slice: bool = False,
 ) -> DataFrame:
-    return order_alerts(stream_snapshots(events, params, allowance_ms, immutable_facts), params)
+    return order_alerts(stream_snapshots(events, params, allowance_ms, immutable_facts, by_slice), params)

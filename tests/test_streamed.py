@@ -2,16 +2,19 @@
 
 import glob
 import json
+import os
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
+import pytest
 from pyspark.sql import functions as F
 from test_queries import SF_DIR
 
 from tallyguard import contracts as C
 from tallyguard.functions.times import local_time, wall_clock_millis
-from tallyguard.plans import registry
+from tallyguard.plans import registry, streamed
 from tallyguard.plans.streamed import FEW_PARTITIONS, state_partitions, write_topics
+from tallyguard.sinks.shared import remove_folder
 from tallyguard.sources import tables
 
 
@@ -65,3 +68,40 @@ def test_times_beside_changes_of_the_clock(spark):
         assert r.wall == aware.replace(tzinfo=None, fold=0)
         # Of a time that comes twice the first one counts.
         assert r.back == r.ms - (3_600_000 if aware.fold else 0)
+
+
+# The topics alone took 294 bytes an event on disk, and stayed there with the checkpoint.
+def test_topics_are_compressed_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streamed, "FILE_RECORDS", 1000)
+    events = tables.order_job_events(spark, SF_DIR)
+    paths = write_topics(events, [C.ORDER_TOPIC, C.DETAIL_TOPIC, C.PAYMENT_TOPIC], str(tmp_path), 5000)
+    for path in paths.values():
+        files = glob.glob(f"{path}/part-*")
+        assert files and all(name.endswith(".gz") for name in files)
+        assert all(spark.read.text(name).count() <= 1000 for name in files)
+        text = spark.read.text(path).agg(F.sum(F.length("value"))).first()[0]
+        assert sum(os.path.getsize(name) for name in files) < text / 4
+
+
+@pytest.mark.parametrize("name", ["stream_order_alerts", "stream_order_alerts_immutable", "stream_user_alerts"])
+def test_scratch_of_a_stream_over_tables_goes(spark, monkeypatch, name):
+    before, operators = folders(spark), []
+
+    def remove(session, folder):
+        operators.extend(glob.glob(f"{folder}/state/*"))
+        assert all(len(glob.glob(f"{operator}/[0-9]*")) <= FEW_PARTITIONS for operator in operators)
+        remove_folder(session, folder)
+
+    monkeypatch.setattr(streamed, "remove_folder", remove)
+    assert registry.QUERIES[name](spark, SF_DIR).count() > 0
+    (folder,) = folders(spark) - before
+    assert os.listdir(folder) == ["out"] and operators
+
+
+def test_scratch_of_a_failed_stream_goes(spark):
+    before = folders(spark)
+    wrong = tables.order_events(spark, SF_DIR).withColumn("user_id", F.lit("nobody"))
+    with pytest.raises(Exception, match="type:user_id"):
+        streamed.run_over_tables(spark, wrong, [C.ORDER_TOPIC, C.PAYMENT_TOPIC], lambda events: events, 5000)
+    (folder,) = folders(spark) - before
+    assert not {"in", "checkpoint"} & set(os.listdir(folder))
